@@ -277,8 +277,8 @@ delay_counts as (
   from s_loaded s join o_loaded o on o.order_id = s.order_id
   where s.delay_reason is not null group by 1, 2),
 ranked as (
-  select *, row_number() over (partition by warehouse_id
-      order by occurrences desc, delay_reason) rank_in_warehouse,
+  select *, cast(row_number() over (partition by warehouse_id
+      order by occurrences desc, delay_reason) as integer) rank_in_warehouse,
     cast(sum(occurrences) over (partition by warehouse_id) as bigint) explained
   from delay_counts)
 """
