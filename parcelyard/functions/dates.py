@@ -21,8 +21,10 @@ FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-11"
 def parse_date(value: Column) -> Column:
     """The day a text names in one of the styles; null when it names none."""
     day = F.lit(None).cast("date")
-    for shape, pattern in reversed(STYLES.values()):
-        day = F.when(value.rlike(shape), F.try_to_date(value, pattern)).otherwise(day)
+    for name, (shape, pattern) in reversed(STYLES.items()):
+        # For the ISO shape the cast says the same as the pattern, several times faster.
+        named = value.try_cast("date") if name == "iso" else F.try_to_date(value, pattern)
+        day = F.when(value.rlike(shape), named).otherwise(day)
     return day
 
 

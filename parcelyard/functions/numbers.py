@@ -5,20 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+DIGITS = r"^[+-]?[0-9]+$"
+
+# With a point or an exponent; plain digits do not match.
+DECIMAL = r"^[+-]?([0-9]+\.[0-9]*|\.[0-9]+|[0-9]+(?=[eE]))([eE][+-]?[0-9]+)?$"
 
 # Above this a double no longer holds every whole number.
 EXACT_DOUBLE = float(2**53)
 
 
-def parse_whole(value: Column) -> Column:
-    """``0007``, ``7.0`` and ``1e3`` as BIGINT; fractions and junk become null.
+def plain_whole(value: Column) -> Column:
+    """Trimmed digits, ``0007`` or ``-3``, as BIGINT; anything else is null.
 
-    Takes trimmed text. Plain digits never go through a double, so long ids stay exact.
+    Digits never go through a double, so long ids stay exact.
     """
-    real = value.try_cast("double")
-    is_whole = value.rlike(DECIMAL) & (real == F.rint(real)) & (F.abs(real) < EXACT_DOUBLE)
-    return F.coalesce(value.try_cast("bigint"), F.when(is_whole, real.try_cast("bigint")))
+    return F.when(value.rlike(DIGITS), value.try_cast("bigint"))
+
+
+def real(value: Column) -> Column:
+    """Trimmed decimal or exponent notation as DOUBLE; plain digits and junk are null."""
+    return F.when(value.rlike(DECIMAL), value.try_cast("double"))
+
+
+def whole(plain: Column, written: Column) -> Column:
+    """The whole number out of ``plain_whole`` and ``real``: ``7.0`` and ``1e3`` count, 2.5 not."""
+    is_whole = (written == F.rint(written)) & (F.abs(written) < EXACT_DOUBLE)
+    return F.coalesce(plain, F.when(is_whole, written.cast("bigint")))
 
 
 def _div(a: Column, b: Column) -> Column:

@@ -15,18 +15,24 @@ from parcelyard.contract import CARRIER_NAMES
 # Unicode whitespace plus the four ASCII separators, which Java's class leaves out.
 SPACE = r"[\s\x1c-\x1f]"
 
+# Any character but printable ASCII. Text without one has no whitespace to look for,
+# and finding that out takes a fraction of a replacement.
+UNUSUAL = r"[^!-~]"
+
 # Zero-width point where a cased letter follows something that is none.
 WORD_START = r"(?<!\p{LC})(?=\p{LC})"
 
 
 def trim(text: Column) -> Column:
     """Without whitespace at either end."""
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    trimmed = F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.when(text.rlike(UNUSUAL), trimmed).otherwise(text)
 
 
 def squeeze(text: Column) -> Column:
     """Whitespace runs collapsed to one space, none at either end."""
-    return F.trim(F.regexp_replace(text, rf"(?U){SPACE}+", " "))
+    squeezed = F.trim(F.regexp_replace(text, rf"(?U){SPACE}+", " "))
+    return F.when(text.rlike(UNUSUAL), squeezed).otherwise(text)
 
 
 def present(value: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from parcelyard.contract import DATE, TEXT, WHOLE, Field, Table
 from parcelyard.functions.dates import in_range, parse_date
-from parcelyard.functions.numbers import parse_whole
+from parcelyard.functions.numbers import plain_whole, real, whole
 from parcelyard.functions.text import CASING, squeeze, trim
 from parcelyard.sources.raw import RawTable
 
@@ -19,7 +19,7 @@ ORDINAL = "_ordinal"
 UNPARSED = "unparsed"
 
 
-def trimmed(table: Table, frame: DataFrame, *keep: Column | str) -> DataFrame:
+def trimmed(table: Table, frame: DataFrame, *keep: Column) -> DataFrame:
     """Text without surplus whitespace, under the columns' own names."""
     return frame.select(
         *[
@@ -30,27 +30,35 @@ def trimmed(table: Table, frame: DataFrame, *keep: Column | str) -> DataFrame:
     )
 
 
-def _value(field: Field) -> Column:
-    text = F.col(field.name)
+def _parsed(field: Field) -> dict[str, Column]:
+    """First reading of the trimmed text, under names that ``_final`` builds on."""
+    name, text = field.name, F.col(field.name)
     if field.kind == DATE:
-        return parse_date(text)
+        return {f"_{name}": parse_date(text)}
     if field.kind == WHOLE:
-        return parse_whole(text)
-    return CASING[field.case](text)
+        return {f"_{name}": plain_whole(text), f"_real_{name}": real(text)}
+    return {f"_{name}": CASING[field.case](text)}
 
 
-def values(table: Table, frame: DataFrame, *keep: Column | str) -> DataFrame:
+def _final(field: Field) -> Column:
+    value = F.col(f"_{field.name}")
+    if field.kind == DATE:
+        return in_range(value)
+    if field.kind == WHOLE:
+        return whole(value, F.col(f"_real_{field.name}"))
+    return value
+
+
+def values(table: Table, frame: DataFrame, *keep: Column) -> DataFrame:
     """``<column>`` with the typed value and ``text_<column>`` with its trimmed text."""
-    parsed = trimmed(table, frame, *keep).withColumns(
-        {f"_{f.name}": _value(f) for f in table.fields}
+    text = trimmed(table, frame, *keep)
+    kept = text.columns[len(table.fields) :]
+    parsed = text.withColumns({n: c for f in table.fields for n, c in _parsed(f).items()})
+    return parsed.select(
+        *[_final(f).alias(f.name) for f in table.fields],
+        *[F.col(f.name).alias(f"text_{f.name}") for f in table.fields],
+        *kept,
     )
-    finals = [
-        (in_range(F.col(f"_{f.name}")) if f.kind == DATE else F.col(f"_{f.name}")).alias(f.name)
-        for f in table.fields
-    ]
-    texts = [F.col(f.name).alias(f"text_{f.name}") for f in table.fields]
-    kept = parsed.columns[len(table.fields) : -len(table.fields)]
-    return parsed.select(*finals, *texts, *kept)
 
 
 def filled(field: Field) -> Column:
@@ -59,14 +67,13 @@ def filled(field: Field) -> Column:
 
 
 def unparsed_text(table: Table) -> Column:
-    """``column=text`` for every number or date that was present but unreadable, else null."""
+    """``column=text`` for every number or date that was present but unreadable, else blank."""
     lost = []
     for f in table.of_kind(WHOLE) + table.of_kind(DATE):
         text = F.col(f"text_{f.name}")
         unread = F.col(f.name).isNull() & (text != "")
         lost.append(F.when(unread, F.concat(F.lit(f"{f.name}="), text)))
-    any_lost = F.coalesce(*lost).isNotNull()
-    return F.when(any_lost, F.concat_ws(", ", *lost))
+    return F.concat_ws(", ", *lost)
 
 
 def clean(table: Table, raw: RawTable) -> DataFrame:

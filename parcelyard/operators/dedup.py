@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.contract import WHOLE, Table
+from parcelyard.functions.text import present
 from parcelyard.operators.clean import ORDINAL, UNPARSED
 
 COPIES = "copies"
@@ -28,7 +29,12 @@ def distinct_rows(table: Table, cleaned: DataFrame) -> DataFrame:
     return (
         cleaned.groupBy(*table.source_columns)
         .agg(first.alias(FIRST), F.count(F.lit(1)).alias(COPIES))
-        .select(*table.source_columns, f"{FIRST}.{ORDINAL}", f"{FIRST}.{UNPARSED}", COPIES)
+        .select(
+            *table.source_columns,
+            f"{FIRST}.{ORDINAL}",
+            present(F.col(f"{FIRST}.{UNPARSED}")).alias(UNPARSED),
+            COPIES,
+        )
     )
 
 

@@ -17,6 +17,17 @@ def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _load_spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table dealt out over the cores when its files are too few to keep them busy.
+
+    Parquet splits at row groups, so a small file is one task's work however many cores
+    there are. Anything large has splits enough and is read where it lies.
+    """
+    frame = _load(spark, sf_dir, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() * 2 <= cores else frame
+
+
 def _text(column: Column) -> Column:
     return column.cast("string")
 
@@ -75,7 +86,9 @@ def orders(spark: SparkSession, sf_dir: str) -> RawTable:
         copy(k % 101 == 0, iso, 1, 1),
     )
     base = (
-        _load(spark, sf_dir, "orders")
+        _load_spread(
+            spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
+        )
         .join(_load(spark, sf_dir, "customer"), customer == F.col("c_custkey"))
         .select(
             k.alias("k"),
@@ -114,7 +127,19 @@ def orders(spark: SparkSession, sf_dir: str) -> RawTable:
 
 def shipments(spark: SparkSession, sf_dir: str) -> RawTable:
     part, supplier, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    base = _load(spark, sf_dir, "lineitem").select(
+    lineitem = _load_spread(
+        spark,
+        sf_dir,
+        "lineitem",
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_linestatus",
+        "l_shipdate",
+    )
+    base = lineitem.select(
         (F.col("l_orderkey") * 10 + line).alias("id"),
         "l_orderkey",
         part.alias("p"),
