@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelyard import contract as C
 from parcelyard.operators.clean import UNPARSED
@@ -118,6 +119,17 @@ def judged(
     )
 
 
+def judged_schema(table: C.Table) -> T.StructType:
+    """What ``judged`` writes; needed to read a table that holds no row."""
+    schema = T.StructType(list(table.schema))
+    if table.parent:
+        parent = C.TABLES[table.parent.parent].schema
+        for name in table.parent.carried:
+            schema.add(parent[name])
+    schema.add(REASON, "string").add(DETAIL, "string").add(UNPARSED, "string")
+    return schema.add(COPIES, "long").add(OUTCOME, "string")
+
+
 def rejects(judged_tables: dict[str, DataFrame]) -> DataFrame:
     """All refused rows of all tables in one frame; other tables' columns stay null."""
     parts = None

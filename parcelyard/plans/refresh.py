@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import logging
 import threading
+from collections import defaultdict
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +38,10 @@ class Refresh:
         self.folder = folder
         self.staging = f"{folder}/staging"
         self._written: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._locks: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)
 
     def _once(self, path: str, build: Callable[[], DataFrame], *partition_by: str) -> DataFrame:
-        with self._lock:
+        with self._locks[path]:
             if path not in self._written:
                 self._written[path] = stage(self.spark, path, build(), *partition_by)
             return self._written[path]
@@ -72,6 +74,9 @@ class Refresh:
         table = TABLES[name]
 
         def build() -> DataFrame:
+            # Tables meet only in the foreign keys; until then their stages run side by side.
+            with ThreadPoolExecutor() as pool:
+                list(pool.map(self.first, lineage(name)))
             parent = self.loaded(table.parent.parent) if table.parent else None
             return refuse.judged(table, self.distinct(name), self.first(name), parent)
 
@@ -92,6 +97,12 @@ class Refresh:
         )
 
 
+def lineage(name: str) -> list[str]:
+    """The table and its ancestors, itself first."""
+    parent = TABLES[name].parent
+    return [name, *(lineage(parent.parent) if parent else [])]
+
+
 def loaded_part(name: str, judged: DataFrame) -> DataFrame:
     table = TABLES[name]
     carried = table.parent.carried if table.parent else ()
@@ -153,7 +164,8 @@ class Snapshot:
 
     def table(self, name: str) -> DataFrame:
         """One table, with the columns carried from its parent."""
-        return loaded_part(name, self.spark.read.parquet(f"{self.info.folder}/{name}"))
+        stored = self.spark.read.schema(refuse.judged_schema(TABLES[name]))
+        return loaded_part(name, stored.parquet(f"{self.info.folder}/{name}"))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
