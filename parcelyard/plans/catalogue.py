@@ -16,17 +16,19 @@ from parcelyard import contract as C
 from parcelyard.operators import clean, dedup, gate, keys, refuse
 from parcelyard.plans import profiles, reports
 from parcelyard.plans.refresh import Refresh, row_counts
-from parcelyard.session import shared_folder
+from parcelyard.session import shared_folder, size_shuffles
 from parcelyard.sources import adapters, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _runs: dict[tuple[str, str], Refresh] = {}
+_extracts: set[str] = set()
 
 
 def refresh_of(spark: SparkSession, sf_dir: str) -> Refresh:
     name = (spark.sparkContext.applicationId, sf_dir)
     if name not in _runs:
+        size_shuffles(spark, sf_dir)
         folder = f"{shared_folder(spark)}/parcelyard/{uuid.uuid4().hex}"
         _runs[name] = Refresh(spark, adapters.raw_tables(spark, sf_dir), folder)
     return _runs[name]
@@ -42,11 +44,11 @@ def _raw_frames(run: Refresh) -> dict[str, DataFrame]:
 def extract_orders(run: Refresh) -> DataFrame:
     """The orders extract, written out as CSV and read back as text."""
     table, path = C.ORDERS, f"{run.folder}/orders.csv"
-    run.raw["orders"].frame.select(*table.source_columns).write.mode("overwrite").option(
-        "header", True
-    ).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False
-    ).csv(path)
+    if path not in _extracts:
+        run.raw["orders"].frame.select(*table.source_columns).write.mode("overwrite").options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
+        _extracts.add(path)
     return raw.read_csv(run.spark, path, table).frame.select(*table.source_columns)
 
 

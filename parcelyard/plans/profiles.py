@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelyard import contract as C
@@ -60,16 +60,13 @@ def unmapped_carriers(raw_shipments: DataFrame) -> DataFrame:
         .groupBy("spelling")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    return (
-        unmapped.orderBy("spelling")
-        .limit(5)
-        .select(
-            "spelling",
-            "rows",
-            unmapped.agg(F.sum("rows")).scalar().alias("total_rows"),
-            unmapped.agg(F.count(F.lit(1))).scalar().alias("total_spellings"),
+    totals = unmapped.agg(
+        F.struct(
+            F.sum("rows").alias("total_rows"), F.count(F.lit(1)).alias("total_spellings")
         )
-    )
+    ).scalar()
+    first = unmapped.orderBy("spelling").limit(5).withColumn("totals", totals)
+    return first.select("spelling", "rows", "totals.*")
 
 
 def _blank(name: str) -> Column:
@@ -237,20 +234,25 @@ def late_rate_by_warehouse(t: Tables) -> DataFrame:
 
 def delay_reason_share(t: Tables) -> DataFrame:
     """Reasons by frequency, as a share of the shipments that carry one."""
-    explained = t["shipments"].where(F.col("delay_reason").isNotNull())
-    total = explained.agg(F.count(F.lit(1))).scalar()
-    return (
-        explained.groupBy("delay_reason")
+    reasons = (
+        t["shipments"]
+        .where(F.col("delay_reason").isNotNull())
+        .groupBy("delay_reason")
         .agg(F.count(F.lit(1)).alias("shipments"))
-        .select("*", percent(F.col("shipments"), total).alias("share_pct"))
-        .orderBy(F.desc("shipments"), "delay_reason")
     )
+    total = reasons.agg(F.sum("shipments")).scalar()
+    return reasons.select(
+        "*", percent(F.col("shipments"), total).alias("share_pct")
+    ).orderBy(F.desc("shipments"), "delay_reason")
 
 
 def delay_reason_by_warehouse(t: Tables) -> DataFrame:
     """Every recorded reason per site with its rank and the site's explained total."""
-    return reports.ranked_reasons(reports.reasons_by_warehouse(t)).orderBy(
-        "warehouse_id", "rank_in_warehouse"
+    return (
+        reports.ranked_reasons(t)
+        .where(F.col("delay_reason").isNotNull())
+        .select("warehouse_id", "delay_reason", "occurrences", "rank_in_warehouse", "explained")
+        .orderBy("warehouse_id", "rank_in_warehouse")
     )
 
 
@@ -262,19 +264,39 @@ def warehouse_vs_network(t: Tables) -> DataFrame:
 
     Rates have one decimal, so tenths of a percent make the weighting exact.
     """
-    sites = reports.on_time_by_warehouse(t).where(F.col("on_time_pct").isNotNull())
-    tenths = F.round(F.col("on_time_pct") * 10).cast("bigint")
-    weighted = sites.agg(F.sum(tenths * F.col("delivered"))).scalar()
-    delivered = sites.agg(F.sum("delivered")).scalar()
-    return sites.select(
-        "warehouse",
-        "on_time_pct",
-        "delivered",
-        (F.call_function("div", weighted * 2 + delivered, delivered * 2).cast("double") / 10).alias(
-            "network_pct"
-        ),
-        (tenths * delivered < weighted).alias("below_network"),
-    ).orderBy(F.desc("on_time_pct"), "warehouse")
+    rate = percent(F.col("punctual"), F.col("delivered"))
+    # The join below would add this filter to one use of ``sites`` only, and the two
+    # uses could not share a scan.
+    shipments = t["shipments"].where(F.col("warehouse_id").isNotNull())
+    sites = (
+        reports.delivery_sums(shipments, ["warehouse_id"], ["delivered", "punctual"])
+        .where("delivered > 0")
+        .select("warehouse_id", "delivered", rate.alias("on_time_pct"))
+        .withColumn("tenths", F.round(F.col("on_time_pct") * 10).cast("bigint"))
+    )
+    network = sites.agg(
+        F.struct(
+            F.sum(F.col("tenths") * F.col("delivered")).alias("weighted"),
+            F.sum("delivered").alias("delivered"),
+        )
+    ).scalar()
+    names = t["warehouses"].select("warehouse_id", F.col("name").alias("warehouse"))
+    return (
+        sites.withColumn("network", network)
+        .join(names, "warehouse_id")
+        .select(
+            "warehouse",
+            "on_time_pct",
+            "delivered",
+            percent(F.col("network.weighted"), F.col("network.delivered") * 1000).alias(
+                "network_pct"
+            ),
+            (F.col("tenths") * F.col("network.delivered") < F.col("network.weighted")).alias(
+                "below_network"
+            ),
+        )
+        .orderBy(F.desc("on_time_pct"), "warehouse")
+    )
 
 
 def trailing_month(t: Tables) -> DataFrame:
@@ -288,11 +310,12 @@ def trailing_month(t: Tables) -> DataFrame:
 def delay_reason_chart(t: Tables) -> DataFrame:
     """Reasons in chart order with the total and the longest bar; 'unknown' is muted."""
     reasons = reports.delay_reason_frequency(t)
+    whole = Window.partitionBy()
     return reasons.select(
         F.replace("delay_reason", F.lit("_"), F.lit(" ")).alias("label"),
         "shipments",
         "share_pct",
         (F.col("delay_reason") == C.UNKNOWN_DELAY_REASON).alias("muted"),
-        reasons.agg(F.sum("shipments")).scalar().alias("total"),
-        reasons.agg(F.max("shipments")).scalar().alias("longest"),
+        F.sum("shipments").over(whole).alias("total"),
+        F.max("shipments").over(whole).alias("longest"),
     ).orderBy("shipments", "label")

@@ -6,6 +6,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# Rows in a shuffle against the compressed files they came from, and what one reducer
+# should get. The number of partitions is bounded because every mapper writes an index
+# entry for each; beyond it partitions grow and spill.
+INFLATION = 4
+PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 40_000
+
 
 def build(master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs count on; a cluster's own settings stay."""
@@ -23,6 +30,24 @@ def build(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, *paths: str) -> None:
+    """Raise the number of shuffle partitions to what the input's size asks for.
+
+    Adaptive execution merges partitions that turn out small but cannot split ordinary
+    big ones, so it needs enough to start from. A higher setting stays as it is.
+    """
+    total = 0
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += files.getContentSummary(folder).getLength()
+    wanted = min(total * INFLATION // PARTITION_BYTES, MOST_PARTITIONS)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    present = spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if wanted > int(present):
+        spark.conf.set(initial, str(wanted))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Where stages are written: the folder the cluster names in ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
