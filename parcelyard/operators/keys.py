@@ -21,10 +21,10 @@ def split_on_key(
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame) -> DataFrame:
     """Key values without a parent and how many children name each.
 
-    Children are counted per key before the join, so a hot key costs one row.
+    Both sides are folded to one row per key before they meet, so a hot key costs one row.
     """
     named = child.groupBy(column).agg(F.count(F.lit(1)).alias("children"))
-    return named.join(parent.select(column), column, "left_anti")
+    return named.join(parent.select(column).distinct(), column, "left_anti")
 
 
 def children_of(doomed: DataFrame, column: str, child: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ class Store:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        newest = rows.orderBy(rows.version.desc()).take(1)
+        newest = rows.orderBy(rows.version.desc(), rows.published_at.desc()).take(1)
         return newest[0] if newest else None
 
     def check_contract(self, contract_path: str | None = None) -> str:

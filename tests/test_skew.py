@@ -57,9 +57,6 @@ def raw_shipments(spark, key, order):
     return RawTable(frame, ("id",))
 
 
-ID = F.col
-
-
 @pytest.fixture(scope="module")
 def hot(spark, tmp_path_factory):
     """Distinct shipments where one key and one order have a third of all rows each."""
@@ -81,14 +78,15 @@ def test_equal_rows_fold_before_the_shuffle(spark):
     assert "Window" not in plan
 
 
-def test_hot_key_first_row(spark, hot):
+def test_hot_key_first_row(spark, hot, tmp_path):
     with settings(spark, SKEWED):
-        contested = dedup.contested_keys(C.SHIPMENTS, hot)
+        contested = stage(spark, str(tmp_path), dedup.contested_keys(C.SHIPMENTS, hot))
         assert [r[0] for r in contested.collect()] == [7]
         first = dedup.first_rows(C.SHIPMENTS, hot, contested)
         row = first.first()
         assert (row.shipment_id, row._first._ordinal.id) == (7, 0)
         plan = executed_plan(first)
+    assert "SortMergeJoin(skew=true)" in plan.split("Initial Plan")[0]
     # The claims are folded after the join and meet in a shuffle of their own.
     assert "partial_min" in plan and re.search(r"Exchange hashpartitioning\(_groupingexpression", plan)
     assert "Window" not in plan
