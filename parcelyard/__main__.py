@@ -14,7 +14,7 @@ from parcelyard.sources.store import ContractDrift
 
 def refresh(args: argparse.Namespace) -> int:
     spark = session.build()
-    session.size_shuffles(spark, args.raw)
+    session.prepare(spark, args.raw)
     try:
         live = publish(spark, read_csv_tables(spark, args.raw), args.store)
     except ContractDrift as drift:

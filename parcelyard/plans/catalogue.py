@@ -16,7 +16,7 @@ from parcelyard import contract as C
 from parcelyard.operators import clean, dedup, gate, keys, refuse
 from parcelyard.plans import profiles, reports
 from parcelyard.plans.refresh import Refresh, row_counts
-from parcelyard.session import shared_folder, size_shuffles
+from parcelyard.session import prepare, shared_folder
 from parcelyard.sources import adapters, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +28,7 @@ _extracts: set[str] = set()
 def refresh_of(spark: SparkSession, sf_dir: str) -> Refresh:
     name = (spark.sparkContext.applicationId, sf_dir)
     if name not in _runs:
-        size_shuffles(spark, sf_dir)
+        prepare(spark, sf_dir)
         folder = f"{shared_folder(spark)}/parcelyard/{uuid.uuid4().hex}"
         _runs[name] = Refresh(spark, adapters.raw_tables(spark, sf_dir), folder)
     return _runs[name]
@@ -153,12 +153,13 @@ def _refused_for(*reasons: str) -> Callable[[Refresh], DataFrame]:
 
 def derive_delivery(run: Refresh) -> DataFrame:
     """Derived columns of every shipment that passed its own rules, orphans included."""
-    return (
-        run.validated("shipments")
-        .where(F.col("_verdict").isNull())
-        .select(
-            "shipment_id", "expected_delivery_date", "actual_delivery_date", *C.SHIPMENTS.columns[6:]
-        )
+    return profiles.validated(run.judged("shipments")).select(
+        "shipment_id",
+        "expected_delivery_date",
+        "actual_delivery_date",
+        "delay_reason",
+        "days_late",
+        "on_time",
     )
 
 

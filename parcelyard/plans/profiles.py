@@ -158,6 +158,12 @@ def stage_counts(judged: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def validated(judged_shipments: DataFrame) -> DataFrame:
+    """Shipments that passed their own rules: the loaded ones and those without an order."""
+    loaded = F.col(refuse.OUTCOME) == refuse.LOADED
+    return judged_shipments.where(loaded | (F.col(refuse.REASON) == C.ORPHAN_SHIPMENT))
+
+
 def delivery_split(judged_shipments: DataFrame) -> DataFrame:
     """Early, on the day, late and in transit; reasons set and not set.
 
@@ -169,7 +175,7 @@ def delivery_split(judged_shipments: DataFrame) -> DataFrame:
         F.array(F.lit("validated"))
     )
     return (
-        judged_shipments.where(loaded | (F.col(refuse.REASON) == C.ORPHAN_SHIPMENT))
+        validated(judged_shipments)
         .select("days_late", "delay_reason", F.explode(populations).alias("population"))
         .groupBy("population")
         .agg(

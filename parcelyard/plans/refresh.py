@@ -67,9 +67,6 @@ class Refresh:
             lambda: dedup.first_rows(TABLES[name], self.distinct(name), self.contested(name)),
         )
 
-    def validated(self, name: str) -> DataFrame:
-        return refuse.validated(TABLES[name], self.distinct(name), self.first(name))
-
     def judged(self, name: str) -> DataFrame:
         table = TABLES[name]
 

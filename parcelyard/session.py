@@ -13,6 +13,9 @@ INFLATION = 4
 PARTITION_BYTES = 256 * 1024 * 1024
 MOST_PARTITIONS = 40_000
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
 
 def build(master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs count on; a cluster's own settings stay."""
@@ -30,22 +33,27 @@ def build(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> None:
-    """Raise the number of shuffle partitions to what the input's size asks for.
+def prepare(spark: SparkSession, *paths: str) -> None:
+    """Fit a running session to the input; settings already made stay as they are.
 
-    Adaptive execution merges partitions that turn out small but cannot split ordinary
-    big ones, so it needs enough to start from. A higher setting stays as it is.
+    Adaptive execution merges shuffle partitions that turn out small but cannot split
+    ordinary big ones, so it needs enough to start from. And HotSpot never compiles a
+    method over 8000 bytes: a wide cleaning projection in one such method runs at half
+    speed, while outside whole-stage code it is cut into methods that compile.
     """
+    if spark.conf.get(METHOD_LIMIT, None) in (None, "65535"):
+        spark.conf.set(METHOD_LIMIT, "8000")
     total = 0
     for path in paths:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
         total += files.getContentSummary(folder).getLength()
     wanted = min(total * INFLATION // PARTITION_BYTES, MOST_PARTITIONS)
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    present = spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    present = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(
+        "spark.sql.shuffle.partitions"
+    )
     if wanted > int(present):
-        spark.conf.set(initial, str(wanted))
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
 
 
 def shared_folder(spark: SparkSession) -> str:
