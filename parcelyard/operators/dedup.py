@@ -16,6 +16,7 @@ from parcelyard.operators.clean import ORDINAL, UNPARSED
 
 COPIES = "copies"
 FIRST = "_first"
+CONFLICT = "_conflict"
 
 
 def distinct_rows(table: Table, cleaned: DataFrame) -> DataFrame:
@@ -46,9 +47,9 @@ def numbers_ok(table: Table) -> Column:
     return ok
 
 
-def position(table: Table) -> Column:
-    """Source order of a distinct row; its values break ties, so the order is total."""
-    return F.struct(ORDINAL, *table.source_columns)
+def position(table: Table, unique: bool) -> list[str]:
+    """Columns that order distinct rows: the ordinal, and the values where ordinals may tie."""
+    return [ORDINAL] if unique else [ORDINAL, *table.source_columns]
 
 
 def contested_keys(table: Table, distinct: DataFrame) -> DataFrame:
@@ -62,7 +63,9 @@ def contested_keys(table: Table, distinct: DataFrame) -> DataFrame:
     )
 
 
-def first_rows(table: Table, distinct: DataFrame, contested: DataFrame) -> DataFrame:
+def first_rows(
+    table: Table, distinct: DataFrame, contested: DataFrame, unique: bool = False
+) -> DataFrame:
     """The position of the row that keeps each contested key: the first one seen.
 
     Grouping by the key inside a struct asks for a shuffle of its own. Grouping by the
@@ -72,12 +75,17 @@ def first_rows(table: Table, distinct: DataFrame, contested: DataFrame) -> DataF
         distinct.where(numbers_ok(table))
         .join(contested, table.key, "left_semi")
         .groupBy(F.struct(table.key).alias("_key"))
-        .agg(F.min(position(table)).alias(FIRST))
+        .agg(F.min(F.struct(*position(table, unique))).alias(FIRST))
         .select(f"_key.{table.key}", FIRST)
     )
 
 
-def key_conflict(table: Table) -> Column:
-    """True for a later row of a contested key, on rows joined with ``first_rows``."""
-    first = F.col(FIRST)
-    return numbers_ok(table) & first.isNotNull() & (position(table) != first)
+def with_conflicts(table: Table, distinct: DataFrame, first: DataFrame) -> DataFrame:
+    """Distinct rows, marked where an earlier row keeps their key.
+
+    ``first`` is small unless keys conflict en masse: Spark broadcasts it while its
+    written size allows and otherwise sorts and merges, splitting a hot key.
+    """
+    place = F.struct(*first.schema[FIRST].dataType.names)
+    later = numbers_ok(table) & F.col(FIRST).isNotNull() & (place != F.col(FIRST))
+    return distinct.join(first, table.key, "left").withColumn(CONFLICT, later).drop(FIRST)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from parcelyard import contract as C
 from parcelyard.operators.clean import UNPARSED
-from parcelyard.operators.dedup import COPIES, key_conflict
+from parcelyard.operators.dedup import CONFLICT, COPIES, with_conflicts
 from parcelyard.operators.derive import DELIVERY
 
 REASON, DETAIL, OUTCOME = "reason", "detail", "outcome"
@@ -43,7 +43,7 @@ def rules(table: C.Table) -> list[tuple[str, Column, Column]]:
     conflict = F.concat(_key_text(table.key), F.lit(" already seen with different values"))
     found = [
         (C.BAD_NUMBER, _any_null(numbers), _name_nulls("not numeric", numbers)),
-        (C.KEY_CONFLICT, key_conflict(table), conflict),
+        (C.KEY_CONFLICT, F.col(CONFLICT), conflict),
     ]
     if dates:
         found.append((C.MISSING_DATE, _any_null(dates), _name_nulls("NaT", dates)))
@@ -66,12 +66,8 @@ def _verdict(reason: str, condition: Column, detail: Column) -> Column:
 
 
 def validated(table: C.Table, distinct: DataFrame, first: DataFrame) -> DataFrame:
-    """Distinct rows with the verdict of every rule but the foreign key, and derived columns.
-
-    ``first`` is small unless keys conflict en masse: Spark broadcasts it while its
-    written size allows and otherwise sorts and merges, splitting a hot key.
-    """
-    judged = distinct.join(first, table.key, "left").withColumn(
+    """Distinct rows with the verdict of every rule but the foreign key, and derived columns."""
+    judged = with_conflicts(table, distinct, first).withColumn(
         "_verdict", F.coalesce(*[_verdict(*rule) for rule in rules(table)])
     )
     if not table.derived:

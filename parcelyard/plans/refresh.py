@@ -5,7 +5,7 @@ executor costs one stage, and every later join starts from files of known size:
 
   distinct   cleaned rows without duplicates       one shuffle, by whole row
   contested  keys claimed by different rows        one shuffle of the key alone
-  first      which row keeps each contested key    contested rows only
+  first      which row keeps each contested key    order of the contested rows
   judged     every row with reason and outcome     joins with first and with the parent
 """
 
@@ -64,7 +64,9 @@ class Refresh:
     def first(self, name: str) -> DataFrame:
         return self._once(
             f"{self.staging}/{name}_first",
-            lambda: dedup.first_rows(TABLES[name], self.distinct(name), self.contested(name)),
+            lambda: dedup.first_rows(
+                TABLES[name], self.distinct(name), self.contested(name), self.raw[name].unique
+            ),
         )
 
     def judged(self, name: str) -> DataFrame:

@@ -21,12 +21,13 @@ NA_TOKENS = (
 class RawTable:
     """Text columns plus the ``order_by`` columns that say which row came first.
 
-    Rows that tie on every ordering column are ordered by their cleaned values, so
-    the order is total either way.
+    ``unique`` promises that no two rows tie. Where they may, ties go by the cleaned
+    values, so the order is total either way, but the values then travel with the order.
     """
 
     frame: DataFrame
     order_by: tuple[str, ...]
+    unique: bool = False
 
 
 def read_csv(
@@ -66,7 +67,7 @@ def read_csv(
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    return RawTable(placed, ("_file", "_block", "_row"))
+    return RawTable(placed, ("_file", "_block", "_row"), unique=True)
 
 
 def read_csv_tables(spark: SparkSession, directory: str, **options) -> dict[str, RawTable]:
@@ -81,4 +82,5 @@ def from_frame(frame: DataFrame, order_by: Iterable[str] = ()) -> RawTable:
     """A frame as a raw table; without ``order_by`` the frame's own row order counts."""
     if order_by:
         return RawTable(frame, tuple(order_by))
-    return RawTable(frame.withColumn("_row", F.monotonically_increasing_id()), ("_row",))
+    numbered = frame.withColumn("_row", F.monotonically_increasing_id())
+    return RawTable(numbered, ("_row",), unique=True)

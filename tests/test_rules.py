@@ -168,3 +168,27 @@ def test_unknown_rules_are_errors():
             assert "unknown" in str(error)
         else:
             raise AssertionError(bad)
+
+
+def test_ties_go_by_value(spark, tmp_path):
+    """Rows that share an ordinal: the one with the smaller values keeps the key."""
+    from frames import raw_frame
+    from pyspark.sql import functions as F
+
+    from parcelyard.plans.refresh import Refresh
+    from parcelyard.sources.raw import from_frame
+
+    orders = raw_frame(
+        spark,
+        "orders",
+        [("10", "1", "2026-03-02", str(c), "2", "toys") for c in (9, 5, 7)]
+        + [("11", "1", d, "1", "2", "toys") for d in ("2026-03-02", "")],
+    ).withColumn("place", F.lit(1))
+    run = refreshed(spark, tmp_path)
+    given = {**run.raw, "orders": from_frame(orders, ["place"])}
+    run = Refresh(spark, given, str(tmp_path))
+    assert [(r.order_id, r.customer_id) for r in run.loaded("orders").collect()] == [(10, 5)]
+    assert sorted(r.reason for r in run.rejects().where("order_id = 11").collect()) == [
+        C.KEY_CONFLICT,  # null sorts first, so the dateless row holds the key
+        C.MISSING_DATE,
+    ]

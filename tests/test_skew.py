@@ -120,3 +120,12 @@ def test_stages_are_broadcast_only_below_the_threshold(spark, hot, tmp_path):
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "1"}):
         joined = refuse.validated(C.SHIPMENTS, hot, first)
         assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unique_ordinals_read_no_values(spark, hot, tmp_path):
+    contested = stage(spark, str(tmp_path), dedup.contested_keys(C.SHIPMENTS, hot))
+    for unique, reads in ((True, False), (False, True)):
+        first = dedup.first_rows(C.SHIPMENTS, hot, contested, unique)
+        plan = first._jdf.queryExecution().executedPlan().toString()
+        assert ("carrier:string" in plan) is reads
+        assert first.first()._first._ordinal.id == 0
