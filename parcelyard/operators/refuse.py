@@ -128,17 +128,15 @@ def judged_schema(table: C.Table) -> T.StructType:
 
 def rejects(judged_tables: dict[str, DataFrame]) -> DataFrame:
     """All refused rows of all tables in one frame; other tables' columns stay null."""
-    parts = None
+    labels = ["source_table", REASON, DETAIL]
+    whole = None
     for name, frame in judged_tables.items():
         part = frame.where(F.col(OUTCOME) == REJECTED).select(
-            F.lit(name).alias("source_table"),
-            REASON,
-            DETAIL,
-            *C.TABLES[name].columns,
-            UNPARSED,
+            F.lit(name).alias("source_table"), REASON, DETAIL, *C.TABLES[name].columns, UNPARSED
         )
-        parts = part if parts is None else parts.unionByName(part, allowMissingColumns=True)
-    return parts
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    data = [c for c in whole.columns if c not in (*labels, UNPARSED)]
+    return whole.select(*labels, *data, UNPARSED)
 
 
 def rejects_summary(rejected: DataFrame) -> DataFrame:

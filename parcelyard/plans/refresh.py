@@ -13,8 +13,7 @@ from __future__ import annotations
 
 import logging
 import threading
-from collections import defaultdict
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -38,10 +37,10 @@ class Refresh:
         self.folder = folder
         self.staging = f"{folder}/staging"
         self._written: dict[str, DataFrame] = {}
-        self._locks: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)
+        self._locks: dict[str, threading.Lock] = {}
 
     def _once(self, path: str, build: Callable[[], DataFrame], *partition_by: str) -> DataFrame:
-        with self._locks[path]:
+        with self._locks.setdefault(path, threading.Lock()):
             if path not in self._written:
                 self._written[path] = stage(self.spark, path, build(), *partition_by)
             return self._written[path]
@@ -69,13 +68,16 @@ class Refresh:
             ),
         )
 
+    def _side_by_side(self, names: Iterable[str]) -> None:
+        """Tables meet only in the foreign keys; until then their stages can run together."""
+        with ThreadPoolExecutor() as pool:
+            list(pool.map(self.first, names))
+
     def judged(self, name: str) -> DataFrame:
         table = TABLES[name]
 
         def build() -> DataFrame:
-            # Tables meet only in the foreign keys; until then their stages run side by side.
-            with ThreadPoolExecutor() as pool:
-                list(pool.map(self.first, lineage(name)))
+            self._side_by_side(lineage(name))
             parent = self.loaded(table.parent.parent) if table.parent else None
             return refuse.judged(table, self.distinct(name), self.first(name), parent)
 
@@ -86,6 +88,7 @@ class Refresh:
         return loaded_part(name, self.judged(name))
 
     def tables(self) -> dict[str, DataFrame]:
+        self._side_by_side(TABLES)
         return {name: self.loaded(name) for name in TABLES}
 
     def rejects(self) -> DataFrame:
