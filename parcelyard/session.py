@@ -14,7 +14,15 @@ PARTITION_BYTES = 256 * 1024 * 1024
 MOST_PARTITIONS = 40_000
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+# Setting: Spark's default and ours.
+# HotSpot never compiles a method over 8000 bytes. A wide cleaning projection in one such
+# method runs at half speed; outside whole-stage code it is cut into methods that compile.
+# And a task that writes two outcomes keeps two files open rather than sort its rows.
+TUNED = {
+    "spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
+    "spark.sql.maxConcurrentOutputFileWriters": ("0", "4"),
+}
 
 
 def build(master: str | None = None, **conf: str) -> SparkSession:
@@ -34,15 +42,14 @@ def build(master: str | None = None, **conf: str) -> SparkSession:
 
 
 def prepare(spark: SparkSession, *paths: str) -> None:
-    """Fit a running session to the input; settings already made stay as they are.
+    """Fit a running session to the jobs and the input; settings already made stay.
 
     Adaptive execution merges shuffle partitions that turn out small but cannot split
-    ordinary big ones, so it needs enough to start from. And HotSpot never compiles a
-    method over 8000 bytes: a wide cleaning projection in one such method runs at half
-    speed, while outside whole-stage code it is cut into methods that compile.
+    ordinary big ones, so it needs enough to start from.
     """
-    if spark.conf.get(METHOD_LIMIT, None) in (None, "65535"):
-        spark.conf.set(METHOD_LIMIT, "8000")
+    for key, (default, ours) in TUNED.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, ours)
     total = 0
     for path in paths:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)

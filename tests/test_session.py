@@ -15,7 +15,9 @@ def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(session, "MOST_PARTITIONS", 10)
         session.prepare(spark, str(tmp_path))
         assert spark.conf.get(session.INITIAL_PARTITIONS) == "16"
-        assert spark.conf.get(session.METHOD_LIMIT) == "8000"
+        assert {k: spark.conf.get(k) for k in session.TUNED} == {
+            k: ours for k, (_, ours) in session.TUNED.items()
+        }
     finally:
         spark.conf.unset(session.INITIAL_PARTITIONS)
 
