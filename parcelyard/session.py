@@ -65,11 +65,11 @@ def prepare(spark: SparkSession, *paths: str) -> None:
 
 def shared_folder(spark: SparkSession) -> str:
     """Where stages are written: the folder the cluster names in ``spark.checkpoint.dir``."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="parcelyard-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="parcelyard-"))
+    return context.getCheckpointDir()

@@ -1,5 +1,9 @@
 """Settings that follow the input, and the shared folder."""
 
+from types import SimpleNamespace
+
+import pytest
+
 from parcelyard import session
 
 
@@ -24,3 +28,19 @@ def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
 
 def test_shared_folder_is_the_named_one(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_only_a_local_session_makes_its_own_folder():
+    def unnamed(master):
+        made = []
+        context = SimpleNamespace(
+            master=master,
+            getCheckpointDir=lambda: made[-1] if made else None,
+            setCheckpointDir=made.append,
+        )
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(unnamed("spark://head:7077"))
+    local = unnamed("local[8]")
+    assert session.shared_folder(local) == session.shared_folder(local)
