@@ -272,15 +272,12 @@ delay_reason_frequency as (
     {_pct('count(*)', '(select count(*) from s_loaded where days_late > 0)')} share_pct,
     {_mean('sum(days_late)', 'count(days_late)')} avg_days_late, max(days_late) worst_days
   from s_loaded where delay_reason is not null group by delay_reason),
-delay_counts as (
-  select o.warehouse_id, s.delay_reason, count(*) occurrences
-  from s_loaded s join o_loaded o on o.order_id = s.order_id
-  where s.delay_reason is not null group by 1, 2),
-ranked as (
-  select *, cast(row_number() over (partition by warehouse_id
-      order by occurrences desc, delay_reason) as integer) rank_in_warehouse,
-    cast(sum(occurrences) over (partition by warehouse_id) as bigint) explained
-  from delay_counts)
+placed as (
+  select o.warehouse_id, s.days_late, s.delay_reason
+  from s_loaded s join o_loaded o on o.order_id = s.order_id),
+votes as (
+  select warehouse_id, delay_reason, count(*) n from placed
+  where delay_reason is not null group by 1, 2)
 """
 
 
@@ -594,17 +591,20 @@ QUERIES = {
         _LATE_PCT,
     ),
     "top_delay_reason_by_warehouse": f"""
-      with late_totals as (
-        select o.warehouse_id, cast(sum(cast(s.days_late > 0 as integer)) as bigint) late_total,
-          cast(sum(cast(s.delay_reason = 'unknown' as integer)) as bigint) unknown_cause
-        from s_loaded s join o_loaded o on o.order_id = s.order_id group by 1)
-      select w.name warehouse, coalesce(r.delay_reason, 'no delays recorded') top_reason,
-        coalesce(r.occurrences, 0) occurrences, coalesce(t.late_total, 0) late_total,
-        coalesce(t.unknown_cause, 0) unknown_cause,
-        {_pct('r.occurrences', 't.late_total')} share_pct
-      from w_loaded w
-      left join ranked r on r.warehouse_id = w.warehouse_id and r.rank_in_warehouse = 1
-      left join late_totals t on t.warehouse_id = w.warehouse_id""",
+      with sites as (
+        select w.name,
+          (select v.delay_reason from votes v where v.warehouse_id = w.warehouse_id
+            order by v.n desc, v.delay_reason limit 1) reason,
+          (select max(v.n) from votes v where v.warehouse_id = w.warehouse_id) most,
+          (select count(*) from placed p
+            where p.warehouse_id = w.warehouse_id and p.days_late > 0) late,
+          (select count(*) from placed p
+            where p.warehouse_id = w.warehouse_id and p.delay_reason = 'unknown') unknown
+        from w_loaded w)
+      select name warehouse, coalesce(reason, 'no delays recorded') top_reason,
+        coalesce(most, 0) occurrences, late late_total, unknown unknown_cause,
+        {_pct('most', 'late')} share_pct
+      from sites""",
     "carrier_ranking": _rates(
         "s.carrier",
         "from s_loaded s group by s.carrier having count(s.on_time) > 0",
@@ -643,7 +643,13 @@ QUERIES = {
     "delay_reason_share": f"""select delay_reason, count(*) shipments,
         {_pct('count(*)', '(select count(*) from s_loaded where delay_reason is not null)')} share_pct
       from s_loaded where delay_reason is not null group by 1""",
-    "delay_reason_by_warehouse": "select * from ranked",
+    "delay_reason_by_warehouse": """
+      select v.warehouse_id, v.delay_reason, v.n occurrences,
+        cast((select count(*) from votes b where b.warehouse_id = v.warehouse_id
+          and (b.n > v.n or (b.n = v.n and b.delay_reason <= v.delay_reason))) as integer)
+          rank_in_warehouse,
+        cast((select sum(b.n) from votes b where b.warehouse_id = v.warehouse_id) as bigint) explained
+      from votes v""",
     "warehouse_vs_network": """
       with sites as (select *, cast(round(on_time_pct * 10) as bigint) tenths
         from on_time_by_warehouse where on_time_pct is not null),

@@ -30,7 +30,7 @@ def refresh_of(spark: SparkSession, sf_dir: str) -> Refresh:
     if name not in _runs:
         prepare(spark, sf_dir)
         folder = f"{shared_folder(spark)}/parcelyard/{uuid.uuid4().hex}"
-        _runs[name] = Refresh(spark, adapters.raw_tables(spark, sf_dir), folder)
+        _runs.setdefault(name, Refresh(spark, adapters.raw_tables(spark, sf_dir), folder))
     return _runs[name]
 
 

@@ -1,5 +1,6 @@
 """Every registered query against its DuckDB SQL on the same Parquet files."""
 
+import os
 from pathlib import Path
 
 import duckdb
@@ -7,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 SQL = entry.oracle_sql()
 
 # DuckDB type by Spark type, for a comparison of schemas.
