@@ -6,10 +6,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+import oracle
+from parcelyard.plans import catalogue
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-SQL = entry.oracle_sql()
+SQL = oracle.oracle_sql()
 
 # DuckDB type by Spark type, for a comparison of schemas.
 TYPES = {
@@ -35,12 +36,12 @@ def multiset(rows):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(catalogue.QUERIES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    frame = entry.queries()[name](spark, SF_DIR)
+    frame = catalogue.named(name)(spark, SF_DIR)
     result = duck.sql(SQL[name])
     columns = sorted(frame.columns)
     assert sorted(result.columns) == columns
