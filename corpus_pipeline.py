@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelyard.llm import decontaminate, mixing, near_dup, secrets, toxicity
+from parcelyard.llm import decontaminate, mixing, near_dup, secret_scan, toxicity
 from parcelyard.llm.workspace import Workspace
 
 
@@ -30,7 +30,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def blot_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

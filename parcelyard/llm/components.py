@@ -21,7 +21,6 @@ def _large_star(links: DataFrame) -> DataFrame:
         both.where("b > a")
         .join(least, F.col("a") == F.col("node"))
         .select(F.col("b").alias("a"), F.least("node", "least").alias("b"))
-        .distinct()
     )
 
 

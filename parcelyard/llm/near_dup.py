@@ -5,12 +5,14 @@
    one class before anything is compared, so copies never make pairs.
 2. Each class has ``MINIMA`` minima under independent universal hash functions. A band is
    a hash of ``ROWS`` minima in a row; classes that share a band are candidates.
-3. Stars: in each bucket the member with the most candidate partners is compared with all
-   others; a bucket of n gives n - 1 pairs. Pairs whose minima agree too seldom are
-   dropped, the rest confirmed on the full sets. The confirmed links' components are
-   found, and buckets that still hold members of several components go round again.
-4. Blocks: what is left after ``STAR_ROUNDS`` is compared exhaustively inside tasks, one
-   pair of bounded chunks each, which return a spanning forest of their links.
+3. Stars: in each bucket the members with the most candidate partners (one, or ``HUBS`` of
+   a large bucket) are compared with all others that are not in their component yet, so a
+   bucket of n gives a few times n pairs. Pairs whose minima agree too seldom are dropped,
+   the rest confirmed on the full sets. The links' components are found, and buckets that
+   still hold members of several components go round again without these hubs.
+4. Blocks: in what is left after ``STAR_ROUNDS`` the members outside a bucket's largest
+   component are compared with all of the bucket inside tasks, one pair of bounded chunks
+   each, which return a spanning forest of their links.
 
 At a similarity of 0.85 all 24 bands of five miss a pair with a chance of 8e-7, and the
 minima of a linked pair agree in fewer than ``AGREEMENT`` places with one below 1e-8.
@@ -37,6 +39,9 @@ BANDS = MINIMA // ROWS
 AGREEMENT = 76
 STAR_ROUNDS = 3
 
+# Hubs of a bucket of more than HUBS_FROM members.
+HUBS, HUBS_FROM = 4, 16
+
 # Members that share a task with their star's centre, and that meet in a block.
 STAR_CHUNK, BLOCK_CHUNK = 256, 128
 
@@ -162,21 +167,25 @@ def _confirm_stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
 
 
 def _confirm_block(block, percent: int):
-    """Spanning forest of the links between members of different components."""
+    """Spanning forest of the links of the left side with members of other components."""
     import pandas as pd
 
     block = block.sort_values("member")
-    ids, sets = block["member"].tolist(), [np.frombuffer(s, np.uint64) for s in block["shingles"]]
-    signs = np.frombuffer(b"".join(block["minima"]), np.uint8).reshape(-1, MINIMA)
-    root = dict(zip(ids, block["component"]))
+    left, right = block[block["left_side"]], block[~block["left_side"]]
     links = []
-    for i, one in enumerate(ids):
-        likely = np.flatnonzero((signs[i + 1 :] == signs[i]).sum(axis=1) >= AGREEMENT) + i + 1
-        for j in likely.tolist():
-            if root[ids[j]] != root[one] and linked(sets[i], sets[j], percent):
-                links.append((one, ids[j]))
-                old, new = root[ids[j]], root[one]
-                root = {k: new if v == old else v for k, v in root.items()}
+    if len(left) and len(right):
+        ids = right["member"].tolist()
+        sets = [np.frombuffer(s, np.uint64) for s in right["shingles"]]
+        signs = np.frombuffer(b"".join(right["minima"]), np.uint8).reshape(-1, MINIMA)
+        root = dict(zip(block["member"], block["component"]))
+        for row in left.itertuples():
+            own = np.frombuffer(row.minima, np.uint8)
+            shingles = np.frombuffer(row.shingles, np.uint64)
+            for at in np.flatnonzero((signs == own).sum(axis=1) >= AGREEMENT).tolist():
+                old, new = root[ids[at]], root[row.member]
+                if old != new and linked(shingles, sets[at], percent):
+                    links.append((row.member, ids[at]))
+                    root = {k: new if v == old else v for k, v in root.items()}
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
@@ -211,10 +220,13 @@ class NearDuplicates:
         """Members of every bucket of two classes or more."""
         entries = classes.select("id", F.explode("bands").alias("bucket"))
         shared = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-        return self.work.write(entries.join(shared, "bucket"), "buckets")
+        members = entries.join(shared, "bucket").withColumn("component", F.col("id"))
+        return self.work.write(members, "buckets")
 
     def _sets_of(self, ids: DataFrame, name: str) -> DataFrame:
-        wanted = self.documents.join(ids, self.documents["doc_id"] == ids["id"], "left_semi")
+        # Sorted and merged at every size, so that small tables show what large ones cost.
+        match = self.documents["doc_id"] == ids["id"]
+        wanted = self.documents.join(ids.hint("merge"), match, "left_semi")
         found = wanted.mapInArrow(partial(_sets, size=self.size), "id long, shingles binary")
         return self.work.write(found, name)
 
@@ -253,26 +265,45 @@ class NearDuplicates:
         )
         return self.work.write(confirmed, f"links-{turn}")
 
-    def _block_links(self, left: DataFrame, classes: DataFrame) -> DataFrame:
+    def _block_links(self, members: DataFrame, classes: DataFrame) -> DataFrame:
         """Links between members of different components, of the buckets that stars left."""
-        sized = left.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_CHUNK).cast("int").alias("parts"))
-        chunked = left.join(sized, "bucket").withColumn("own", F.pmod(F.hash("id"), "parts"))
-        spread = chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        sets = self._sets_of(left.select("id").distinct(), "sets-blocks")
-        rows = (
-            spread.join(sets, "id")
-            .join(classes.select("id", "minima"), "id")
-            .select(
+
+        def parts(count: str):
+            return F.ceil(F.col(count) / BLOCK_CHUNK).cast("int")
+
+        counted = members.groupBy("bucket", "component").count()
+        largest = counted.groupBy("bucket").agg(
+            F.max(F.struct("count", "component")).alias("top"), F.sum("count").alias("all")
+        )
+        sized = largest.select(
+            "bucket",
+            F.col("top.component").alias("top"),
+            parts("all").alias("right"),
+            F.ceil((F.col("all") - F.col("top.count")) / BLOCK_CHUNK).cast("int").alias("left"),
+        )
+        placed = members.join(sized, "bucket")
+
+        def side(rows: DataFrame, own: str, other: str, left: bool) -> DataFrame:
+            """Each row once for every chunk of the other side."""
+            return rows.select(
                 "bucket",
-                F.least("own", "other").alias("low"),
-                F.greatest("own", "other").alias("high"),
-                F.col("id").alias("member"),
+                "id",
                 "component",
-                "minima",
-                "shingles",
+                F.lit(left).alias("left_side"),
+                F.pmod(F.hash("id"), own).alias(own),
+                F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other),
             )
+
+        blocks = side(placed.where("component != top"), "left", "right", True).unionByName(
+            side(placed, "right", "left", False)
         )
-        return rows.groupBy("bucket", "low", "high").applyInPandas(
+        sets = self._sets_of(members.select("id").distinct(), "sets-blocks")
+        rows = (
+            blocks.join(sets, "id")
+            .join(classes.select("id", "minima"), "id")
+            .withColumnRenamed("id", "member")
+        )
+        return rows.groupBy("bucket", "left", "right").applyInPandas(
             partial(_confirm_block, percent=self.percent), "a long, b long"
         )
 
@@ -308,28 +339,38 @@ class NearDuplicates:
         """The classes, and the components of those with links."""
         classes = self._classes()
         members = self._buckets(classes)
-        links = self.work.write(self._twins(classes), "twins")
+        twins = self.work.write(self._twins(classes), "twins")
+        found = self._joined(None, twins, "twins")
         for turn in range(STAR_ROUNDS):
+            if members.isEmpty():
+                return classes, found
             partners = members.groupBy("id").agg(F.sum("size").alias("partners"))
-            ranked = members.join(partners, "id")
-            centres = ranked.groupBy("bucket").agg(
-                F.max(F.struct("partners", (-F.col("id")).alias("below"))).alias("top")
-            )
-            compared = self.work.write(
-                members.drop("size", "component").join(
-                    centres.select("bucket", (-F.col("top.below")).alias("centre")), "bucket"
-                ),
-                f"compared-{turn}",
+            several = F.when(F.col("size") > HUBS_FROM, F.pmod(F.hash("id"), F.lit(HUBS)))
+            hubs = (
+                members.join(partners, "id")
+                .groupBy("bucket", F.coalesce(several, F.lit(0)).alias("part"))
+                .agg(F.max(F.struct("partners", (-F.col("id")).alias("below"), "component")).alias("top"))
+                .select("bucket", (-F.col("top.below")).alias("centre"), F.col("top.component").alias("own"))
             )
-            pairs = compared.where("id != centre").select("centre", F.col("id").alias("member"))
-            links = links.union(self._star_links(pairs.distinct(), classes, turn))
-            found = self.work.write(components(self.work, links, f"round-{turn}"), f"found-{turn}")
-            rest = compared.where("id != centre").select("bucket", "id")
+            hubs = self.work.write(hubs, f"hubs-{turn}")
+            apart = members.join(hubs, "bucket").where("component != own")
+            pairs = apart.select("centre", F.col("id").alias("member")).distinct()
+            found = self._joined(found, self._star_links(pairs, classes, turn), f"round-{turn}")
+            done = hubs.select("bucket", F.col("centre").alias("id"))
+            rest = members.join(done, ["bucket", "id"], "left_anti").select("bucket", "id")
             members = self.work.write(self._named(rest, found), f"members-{turn}")
-            if members.isEmpty():
-                return classes, found
-        links = links.union(self.work.write(self._block_links(members, classes), "links-blocks"))
-        return classes, self.work.write(components(self.work, links, "round-blocks"), "found")
+        if members.isEmpty():
+            return classes, found
+        links = self.work.write(self._block_links(members, classes), "links-blocks")
+        return classes, self._joined(found, links, "round-blocks")
+
+    def _joined(self, found: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
+        """Components with these links added; as before if there are none."""
+        if found is not None:
+            if links.isEmpty():
+                return found
+            links = links.union(found)
+        return self.work.write(components(self.work, links, name), f"{name}-found")
 
     def result(self) -> DataFrame:
         """``doc_id, n_shingles, component_id, kept`` of every row."""

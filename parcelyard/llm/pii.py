@@ -49,7 +49,7 @@ PATTERNS = {
     "email": rf"(?<![{_WORD}._%+-])[{_WORD}._%+-]{{1,64}}+@(?:[A-Za-z0-9-]{{1,63}}\.){{1,8}}[A-Za-z]{{2,24}}",
     "iban": rf"(?<![{_WORD}])[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,4}})?(?![{_WORD}])",
     "card": rf"(?<![{_WORD}.+-])(?:\d{{4}}[ -]?\d{{4}}[ -]?\d{{4}}[ -]?\d{{4}}|3[47]\d{{2}}[ -]?\d{{6}}[ -]?\d{{5}})(?![{_WORD}])",
-    "phone": rf"(?<![{_WORD}.+])(?:\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})(?:[ .-]?\d{{2,4}}){{2,4}}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?![{_WORD}])",
+    "phone": rf"(?<![{_WORD}.+])(?:\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}|\+(?!1[ .(-])\d{{1,3}}(?:[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})){{2,5}}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?![{_WORD}])",
     "ssn": rf"(?<![{_WORD}-])\d{{3}}-\d{{2}}-\d{{4}}(?![{_WORD}-])",
     "ip": rf"(?<![{_WORD}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![{_WORD}]|\.\d)",
     "person": rf"(?<!\p{{L}})(?:(?:{'|'.join(TITLES)}) (?:(?:{_ALL_GIVEN}) )?{_CAPITAL}|(?:{_ALL_GIVEN}) {_CAPITAL})(?!\p{{L}})",
@@ -175,7 +175,8 @@ def _surrogate(kind: Column, value: Column, digest: Column, attempt: int) -> Col
         .when(kind == "card", _redrawn(value, digest, F.lit(1)))
         .when(
             (kind == "phone") & value.startswith("+"),
-            _redrawn(value, digest, F.greatest(F.length(value) - 10, F.lit(2))),
+            # The sign and the country code stay: one digit for zones 1 and 7.
+            _redrawn(value, digest, F.when(value.rlike("^[+][17]"), 2).otherwise(3)),
         )
         .otherwise(_redrawn(value, digest, none))
     )

@@ -15,7 +15,7 @@ from parcelyard.llm import (
     mixing,
     near_dup,
     pii,
-    secrets,
+    secret_scan,
     toxicity,
 )
 
@@ -48,7 +48,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find(_table(spark, sf_dir, "documents"))
+    return secret_scan.find(_table(spark, sf_dir, "documents"))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", "first_slot"
+        "doc_id", "size", "source_size", "target", "taken"
     )
 
 
