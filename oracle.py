@@ -23,7 +23,14 @@ def _date(text: str) -> str:
 
 
 def _number(text: str) -> str:
-    return f"try_cast(trim({text}) as bigint)"
+    """Whole numbers however they are written; a cast alone would round 2.5."""
+    digits = rf"regexp_full_match(trim({text}), '[+-]?\d+')"
+    real = f"try_cast(trim({text}) as double)"
+    whole = f"{real} = floor({real}) and abs({real}) < 9e18"
+    return (
+        f"case when {digits} then try_cast(trim({text}) as bigint) "
+        f"when {whole} then try_cast({real} as bigint) end"
+    )
 
 
 def _tidy(text: str) -> str:
@@ -101,10 +108,13 @@ o_raw as (
   select case when k % 211 = 0 then concat('x', cast(k as varchar))
       when k % 10 = 3 then lpad(cast(k as varchar), 10, '0') else cast(k as varchar) end order_id,
     cast(wid as varchar) warehouse_id,
-    case when k % 307 = 0 then 'not-a-date' else od end order_date,
+    case when k % 307 = 0 then 'not-a-date' when k % 311 = 0 then '9999-12-31'
+      when k % 313 = 0 then '01/01/1500' else od end order_date,
     case when k % 31 = 0 then null when k % 173 = 0 then 'oops'
       else cast(ck as varchar) end customer_id,
     case when k % 149 = 0 then '0' when k % 151 = 0 then '-3' when k % 401 = 0 then 'lots'
+      when k % 403 = 0 then '2.5' when k % 407 = 0 then '12345678901234567890'
+      when k % 409 = 0 then '7.0' when k % 419 = 0 then '1e3'
       else cast(1 + k % 12 + q as varchar) end quantity,
     case when k % 33 = 0 then '  ' when k % 4 = 0 then upper(pr)
       when k % 4 = 1 then concat(' ', lower(pr)) else pr end product_category,
@@ -429,6 +439,52 @@ def _violations(population: str, w: str, o: str, s: str) -> str:
     return " union all ".join(lines)
 
 
+def _violating_rows(w: str, o: str, s: str) -> str:
+    reasons = "'weather', 'carrier_delay', 'inventory_shortage', 'address_issue', 'customs', 'unknown'"
+    rules = [
+        (table, source, columns[0], f"{c} not null", f"{c} is null")
+        for table, source, columns in (
+            ("warehouses", w, W.split(", ")),
+            ("orders", o, O.split(", ")),
+            ("shipments", s, S.split(", ")[:5]),
+        )
+        for c in columns
+    ]
+    rules += [("orders", o, "order_id", "quantity > 0", "quantity <= 0")]
+    rules += [
+        ("shipments", s, "shipment_id", rule, broken)
+        for rule, broken in (
+            ("expected_delivery_date >= ship_date", "expected_delivery_date < ship_date"),
+            ("actual_delivery_date >= ship_date", "actual_delivery_date < ship_date"),
+            ("delay_reason in vocabulary", f"delay_reason not in ({reasons})"),
+            ("on_time in (0, 1)", "on_time not in (0, 1)"),
+            (
+                "days_late and on_time both known or neither",
+                "(days_late is null) <> (on_time is null)",
+            ),
+        )
+    ]
+    lines = [
+        f"select distinct '{table}' source_table, '{rule}' as rule, {key} as key from {source} where {broken}"
+        for table, source, key, rule, broken in rules
+    ]
+    lines += [
+        f"select '{table}', '{key} unique', {key} from {source} where {key} is not null "
+        f"group by {key} having count(*) > 1"
+        for table, source, key in (
+            ("warehouses", w, "warehouse_id"), ("orders", o, "order_id"), ("shipments", s, "shipment_id")
+        )
+    ]
+    lines += [
+        f"select distinct '{table}', '{key} in {parent}', c.{key} from {source} c where c.{key} is not null "
+        f"and not exists (select 1 from {above} p where p.{key} = c.{key})"
+        for table, source, key, parent, above in (
+            ("orders", o, "warehouse_id", "warehouses", w), ("shipments", s, "order_id", "orders", o)
+        )
+    ]
+    return " union all ".join(lines)
+
+
 _S_DIST_DERIVED = """(select *, cast(actual_delivery_date - expected_delivery_date as integer) days_late,
   cast(actual_delivery_date <= expected_delivery_date as integer) on_time from s_dist)"""
 
@@ -447,7 +503,20 @@ _LATE_PCT = ", " + _pct("sum(cast(s.days_late > 0 as integer))", "count(s.days_l
 _ON_TIME_PCT = ", " + _pct("sum(s.on_time)", "count(s.on_time)") + " on_time_pct"
 
 QUERIES = {
+    "extract_warehouses": f"select {W} from w_raw",
     "extract_orders": f"select {O} from o_raw",
+    "extract_shipments": f"select * exclude (ord1, ord2, ord3) replace (nullif(ship_date, '') as ship_date) from s_raw",
+    "reject_malformed": " union all ".join(
+        f"""select '{table}' source_table, 'line does not have the table''s fields' reason,
+          {key} || '{rest}' unparsed
+        from {source} where regexp_full_match({key}, '[0-9]+') and cast({key} as bigint) % {every} = 0"""
+        for table, source, key in (
+            ("warehouses", "w_raw", "warehouse_id"),
+            ("orders", "o_raw", "order_id"),
+            ("shipments", "s_raw", "shipment_id"),
+        )
+        for every, rest in ((89, ',"half'), (97, ",a,b,c,d,e,f,g"))
+    ),
     "clean_dates": """
       select 'orders' source_table, raw_id, order_date, null::date ship_date,
         null::date expected_delivery_date, null::date actual_delivery_date from o_parsed
@@ -571,6 +640,13 @@ QUERIES = {
         where year(order_date) <> 1995
       union all select 'child', shipment_id, order_id from s_loaded
         where order_id in (select order_id from o_loaded where year(order_date) <> 1995)""",
+    "violating_rows": _violating_rows("w_dist", "o_dist", _S_DIST_DERIVED),
+    "publish_twice": " union all ".join(
+        f"select '{table}' source_table, count(*) as old, count(*) as new, 0::bigint differing from {source}"
+        for table, source in (
+            ("warehouses", "w_loaded"), ("orders", "o_loaded"), ("shipments", "s_loaded")
+        )
+    ),
     "cascade_update": """
       select 'warehouses' source_table,
         case when region = 'Asia' then warehouse_id + 1000 else warehouse_id end warehouse_id,
@@ -579,9 +655,11 @@ QUERIES = {
         case when region = 'Asia' then o.warehouse_id + 1000 else o.warehouse_id end,
         case when product_category = 'unknown' then -order_id else order_id end, null
         from o_loaded o join w_loaded w on o.warehouse_id = w.warehouse_id
-      union all select 'shipments', null,
+      union all select 'shipments',
+        case when region = 'Asia' then o.warehouse_id + 1000 else o.warehouse_id end,
         case when product_category = 'unknown' then -s.order_id else s.order_id end, shipment_id
-        from s_loaded s join o_loaded o on o.order_id = s.order_id""",
+        from s_loaded s join o_loaded o on o.order_id = s.order_id
+        join w_loaded w on o.warehouse_id = w.warehouse_id""",
     "on_time_by_warehouse": "select * from on_time_by_warehouse",
     "days_late_by_region": _rates(
         "w.region",

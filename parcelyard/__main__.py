@@ -1,4 +1,4 @@
-"""``python -m parcelyard``: refresh a store, print its reports."""
+"""``python -m parcelyard``: refresh a store, print its reports, delete old versions."""
 
 from __future__ import annotations
 
@@ -6,25 +6,28 @@ import argparse
 import sys
 
 from parcelyard import session
-from parcelyard.plans.refresh import Snapshot, publish, write_rejects_csv
+from parcelyard.plans.refresh import Snapshot, prune, publish, write_rejects_csv
 from parcelyard.plans.reports import REPORTS
 from parcelyard.sources.raw import read_csv_tables
-from parcelyard.sources.store import ContractDrift
+from parcelyard.sources.store import ContractDrift, ContractViolation, LostRace
 
 
 def refresh(args: argparse.Namespace) -> int:
     spark = session.build()
-    session.prepare(spark, args.raw)
+    code, folder = 0, None
     try:
         live = publish(spark, read_csv_tables(spark, args.raw), args.store)
-    except ContractDrift as drift:
-        # A decision for whoever runs this, not a crash to look into.
-        print(f"CONTRACT DRIFT, nothing was loaded\n\n{drift}", file=sys.stderr)
-        return 2
-    if args.rejects_csv:
-        write_rejects_csv(Snapshot(spark, args.store).rejects(), args.rejects_csv)
-    print(live)
-    return 0
+        folder = live.folder
+        print(live)
+    except ContractViolation as broken:
+        code, folder = 3, broken.folder
+        print(broken, file=sys.stderr)
+    except (ContractDrift, LostRace) as refused:
+        code = 2
+        print(refused, file=sys.stderr)
+    if args.rejects_csv and folder:
+        write_rejects_csv(spark.read.parquet(f"{folder}/rejects"), args.rejects_csv)
+    return code
 
 
 def report(args: argparse.Namespace) -> int:
@@ -40,9 +43,14 @@ def report(args: argparse.Namespace) -> int:
     tables = Snapshot(session.build(), args.store).tables()
     for name, one in chosen.items():
         print(f"\n{one.title} [{name}]\n{one.question}\n")
-        # Reports hold a row per site, month, carrier or reason; show prints them whole.
-        result = one.build(tables)
-        result.show(result.count(), truncate=False)
+        # Printed are the first lines; a report may have as many as there are spellings.
+        one.build(tables).show(args.lines, truncate=False)
+    return 0
+
+
+def old_versions(args: argparse.Namespace) -> int:
+    for folder in prune(session.build(), args.store, args.keep):
+        print("deleted", folder)
     return 0
 
 
@@ -58,7 +66,12 @@ def main(argv: list[str] | None = None) -> int:
     tell.add_argument("store")
     tell.add_argument("match", nargs="?", default="")
     tell.add_argument("--list", action="store_true", help="only the names")
+    tell.add_argument("--lines", type=int, default=200, help="most lines to print of a report")
     tell.set_defaults(run=report)
+    drop = commands.add_parser("prune", help="delete old versions of a store")
+    drop.add_argument("store")
+    drop.add_argument("--keep", type=int, required=True, help="newest versions to keep")
+    drop.set_defaults(run=old_versions)
     args = parser.parse_args(argv)
     return args.run(args)
 

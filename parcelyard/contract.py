@@ -46,6 +46,9 @@ DELAY_REASONS = (
     "unknown",
 )
 
+# Why a line of the source is no row at all.
+MALFORMED_LINE = "line does not have the table's fields"
+
 # Why a row was refused.
 BAD_NUMBER = "required numeric column unparseable"
 KEY_CONFLICT = "duplicate primary key with conflicting values"

@@ -14,10 +14,6 @@ STYLES = {
     "abbrev_month": (r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$", "d-MMM-yyyy"),
 }
 
-# First and last day a nanosecond timestamp can hold.
-FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-11"
-
-
 def parse_date(value: Column) -> Column:
     """The day a text names in one of the styles; null when it names none."""
     day = F.lit(None).cast("date")
@@ -28,11 +24,6 @@ def parse_date(value: Column) -> Column:
     return day
 
 
-def in_range(day: Column) -> Column:
-    """The day, or null outside the days that count as real."""
-    return F.when(day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), day)
-
-
 def date_style(value: Column, day: Column) -> Column:
     """``iso`` … ``abbrev_month`` for a parsed text, else ``blank`` or ``unparseable``."""
     style = F.when(F.coalesce(value, F.lit("")) == "", "blank").when(day.isNull(), "unparseable")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.contract import DATE, TEXT, WHOLE, Field, Table
-from parcelyard.functions.dates import in_range, parse_date
+from parcelyard.functions.dates import parse_date
 from parcelyard.functions.numbers import plain_whole, real, whole
 from parcelyard.functions.text import CASING, squeeze, trim
 from parcelyard.sources.raw import RawTable
@@ -42,8 +42,6 @@ def _parsed(field: Field) -> dict[str, Column]:
 
 def _final(field: Field) -> Column:
     value = F.col(f"_{field.name}")
-    if field.kind == DATE:
-        return in_range(value)
     if field.kind == WHOLE:
         return whole(value, F.col(f"_real_{field.name}"))
     return value

@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelyard.contract import Table
+
 
 class RestrictedDelete(RuntimeError):
     """A parent that still has children may not be deleted."""
 
 
-def split_on_key(
-    child: DataFrame, column: str, parent: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Children whose parent exists, and the orphans."""
-    keys = parent.select(column)
-    return child.join(keys, column, "left_semi"), child.join(keys, column, "left_anti")
-
-
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame) -> DataFrame:
     """Key values without a parent and how many children name each.
 
@@ -55,8 +51,21 @@ def cascade_delete(
 def renamed_keys(frame: DataFrame, column: str, renames: DataFrame) -> DataFrame:
     """Apply ``renames(<column>, new_key)`` to a key column.
 
-    Used on the parent and on every child alike, this is an update that cascades.
     ``renames`` names each old key once.
     """
     moved = frame.join(renames.select(column, "new_key"), column, "left")
     return moved.withColumn(column, F.coalesce("new_key", column)).select(*frame.columns)
+
+
+def cascade_update(
+    tables: Mapping[str, DataFrame], table: Table, renames: DataFrame
+) -> dict[str, DataFrame]:
+    """The tables with new keys of ``table``, wherever a table has, names or carries them.
+
+    A key keeps its column name in every table, so a column of that name is the key, a
+    reference to it or a copy that came along with one.
+    """
+    return {
+        name: renamed_keys(frame, table.key, renames) if table.key in frame.columns else frame
+        for name, frame in tables.items()
+    }

@@ -45,6 +45,7 @@ def rules(table: C.Table) -> list[tuple[str, Column, Column]]:
         (C.BAD_NUMBER, _any_null(numbers), _name_nulls("not numeric", numbers)),
         (C.KEY_CONFLICT, F.col(CONFLICT), conflict),
     ]
+    # The labels of the details.
     if dates:
         found.append((C.MISSING_DATE, _any_null(dates), _name_nulls("NaT", dates)))
     if table.name == "orders":
@@ -126,7 +127,19 @@ def judged_schema(table: C.Table) -> T.StructType:
     return schema.add(COPIES, "long").add(OUTCOME, "string")
 
 
-def rejects(judged_tables: dict[str, DataFrame]) -> DataFrame:
+def malformed_lines(name: str, lines: DataFrame) -> DataFrame:
+    """Source lines that are no rows, as refused rows without values."""
+    return lines.select(
+        F.lit(name).alias("source_table"),
+        F.lit(C.MALFORMED_LINE).alias(REASON),
+        F.lit(None).cast("string").alias(DETAIL),
+        F.col("line").alias(UNPARSED),
+    )
+
+
+def rejects(
+    judged_tables: dict[str, DataFrame], malformed: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """All refused rows of all tables in one frame; other tables' columns stay null."""
     labels = ["source_table", REASON, DETAIL]
     whole = None
@@ -135,6 +148,8 @@ def rejects(judged_tables: dict[str, DataFrame]) -> DataFrame:
             F.lit(name).alias("source_table"), REASON, DETAIL, *C.TABLES[name].columns, UNPARSED
         )
         whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    for name, lines in (malformed or {}).items():
+        whole = whole.unionByName(malformed_lines(name, lines), allowMissingColumns=True)
     data = [c for c in whole.columns if c not in (*labels, UNPARSED)]
     return whole.select(*labels, *data, UNPARSED)
 

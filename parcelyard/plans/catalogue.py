@@ -9,15 +9,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard import contract as C
 from parcelyard.operators import clean, dedup, gate, keys, refuse
 from parcelyard.plans import profiles, reports
-from parcelyard.plans.refresh import Refresh, row_counts
-from parcelyard.session import prepare, shared_folder
+from parcelyard.plans.refresh import Refresh, loaded_part, publish, row_counts
+from parcelyard.session import prepare, removed_at_exit, shared_folder
 from parcelyard.sources import adapters, raw
+from parcelyard.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +30,7 @@ def refresh_of(spark: SparkSession, sf_dir: str) -> Refresh:
     name = (spark.sparkContext.applicationId, sf_dir)
     if name not in _runs:
         prepare(spark, sf_dir)
-        folder = f"{shared_folder(spark)}/parcelyard/{uuid.uuid4().hex}"
+        folder = removed_at_exit(spark, f"{shared_folder(spark)}/parcelyard/{uuid.uuid4().hex}")
         _runs.setdefault(name, Refresh(spark, adapters.raw_tables(spark, sf_dir), folder))
     return _runs[name]
 
@@ -41,15 +42,41 @@ def _raw_frames(run: Refresh) -> dict[str, DataFrame]:
 # --- sources and cleaning -------------------------------------------------------
 
 
-def extract_orders(run: Refresh) -> DataFrame:
-    """The orders extract, written out as CSV and read back as text."""
-    table, path = C.ORDERS, f"{run.folder}/orders.csv"
+def _half(key: Column) -> Column:
+    return F.concat(key, F.lit(',"half'))
+
+
+def _surplus(key: Column) -> Column:
+    return F.concat(key, F.lit(",a,b,c,d,e,f,g"))
+
+
+def extracted(run: Refresh, name: str) -> raw.RawTable:
+    """A table written out as CSV lines and read back; every 89th and 97th key adds a bad line."""
+    table, path = C.TABLES[name], f"{run.folder}/{name}.csv"
+    key = F.col(table.key)
+    number = F.when(key.rlike("^[0-9]+$"), key.cast("bigint"))
+    line = F.to_csv(
+        F.struct(*table.source_columns),
+        {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
+    )
     if path not in _extracts:
-        run.raw["orders"].frame.select(*table.source_columns).write.mode("overwrite").options(
-            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-        ).csv(path)
+        lines = F.array(
+            line, F.when(number % 89 == 0, _half(key)), F.when(number % 97 == 0, _surplus(key))
+        )
+        run.raw[name].frame.select(F.explode(F.array_compact(lines))).write.mode("overwrite").text(path)
         _extracts.add(path)
-    return raw.read_csv(run.spark, path, table).frame.select(*table.source_columns)
+    return raw.read_csv(run.spark, path, table, header=table.source_columns)
+
+
+def extract(name: str) -> Callable[[Refresh], DataFrame]:
+    return lambda run: extracted(run, name).frame.select(*C.TABLES[name].source_columns)
+
+
+def reject_malformed(run: Refresh) -> DataFrame:
+    """Lines of the written extracts that are no rows."""
+    return _union([refuse.malformed_lines(n, extracted(run, n).malformed) for n in C.TABLES]).select(
+        "source_table", refuse.REASON, clean.UNPARSED
+    )
 
 
 def _cleaned(
@@ -166,23 +193,56 @@ def derive_delivery(run: Refresh) -> DataFrame:
 # --- constraints and referential actions ------------------------------------------
 
 
+def _unrefused(run: Refresh) -> dict[str, DataFrame]:
+    """The tables as they would be loaded if no row were refused."""
+    derived = {n: build() for n, build in refuse.DELIVERY.items()}
+    return {
+        name: run.distinct(name).withColumns(derived if name == "shipments" else {})
+        for name in C.TABLES
+    }
+
+
 def contract_violations(run: Refresh) -> DataFrame:
     """The gate over the loaded tables, and over what it would see if no row were refused."""
-    unrefused = {
-        "warehouses": run.distinct("warehouses"),
-        "orders": run.distinct("orders"),
-        "shipments": run.distinct("shipments").withColumns(
-            {n: build() for n, build in refuse.DELIVERY.items()}
-        ),
-    }
     return _union(
         [
             gate.violations(tables).select(F.lit(population).alias("population"), "*")
-            for population, tables in (("loaded", run.tables()), ("unrefused", unrefused))
+            for population, tables in (("loaded", run.tables()), ("unrefused", _unrefused(run)))
         ]
     )
 
 
+def violating_rows(run: Refresh) -> DataFrame:
+    """Keys that break the contract if no row is refused."""
+    return gate.violating_rows(_unrefused(run))
+
+
+def publish_twice(run: Refresh) -> DataFrame:
+    """Row counts of two versions published from the same source, and rows only one has."""
+    root = f"{run.folder}/store"
+    if root not in _extracts:
+        publish(run.spark, run.raw, root)
+        publish(run.spark, run.raw, root)
+        _extracts.add(root)
+    newer, older = Store(run.spark, root).folders()
+
+    def stored(folder: str, name: str) -> DataFrame:
+        whole = run.spark.read.schema(refuse.judged_schema(C.TABLES[name]))
+        return loaded_part(name, whole.parquet(f"{folder}/{name}"))
+
+    parts = []
+    for name in C.TABLES:
+        old, new = stored(older, name), stored(newer, name)
+        counts = row_counts({"old": old, "new": new}).groupBy().pivot("source_table", ["old", "new"])
+        differ = old.exceptAll(new).unionByName(new.exceptAll(old))
+        parts.append(
+            counts.sum("rows")
+            .withColumn("differing", differ.agg(F.count("*")).scalar())
+            .select(F.lit(name).alias("source_table"), "old", "new", "differing")
+        )
+    return _union(parts)
+
+
 def restrict_delete(run: Refresh) -> DataFrame:
     """Which warehouses may be deleted, and how many orders hold each of the others."""
     sites, orders = run.loaded("warehouses"), run.loaded("orders")
@@ -213,20 +273,20 @@ def cascade_delete(run: Refresh) -> DataFrame:
 
 def cascade_update(run: Refresh) -> DataFrame:
     """Keys in all tables after Asia's warehouses and uncategorised orders get new ones."""
-    sites, orders, shipments = (run.loaded(n) for n in C.TABLES)
-    new_sites = sites.where("region = 'Asia'").select(
+    tables = {n: run.loaded(n) for n in C.TABLES}
+    new_sites = tables["warehouses"].where("region = 'Asia'").select(
         "warehouse_id", (F.col("warehouse_id") + 1000).alias("new_key")
     )
-    new_orders = orders.where(F.col("product_category") == C.UNKNOWN_CATEGORY).select(
+    new_orders = tables["orders"].where(F.col("product_category") == C.UNKNOWN_CATEGORY).select(
         "order_id", (-F.col("order_id")).alias("new_key")
     )
-    sites, orders = (keys.renamed_keys(t, "warehouse_id", new_sites) for t in (sites, orders))
-    orders, shipments = (keys.renamed_keys(t, "order_id", new_orders) for t in (orders, shipments))
+    tables = keys.cascade_update(tables, C.WAREHOUSES, new_sites)
+    tables = keys.cascade_update(tables, C.ORDERS, new_orders)
+    wanted = ("warehouse_id", "order_id", "shipment_id")
     return _union(
         [
-            sites.select(F.lit("warehouses").alias("source_table"), "warehouse_id"),
-            orders.select(F.lit("orders").alias("source_table"), "warehouse_id", "order_id"),
-            shipments.select(F.lit("shipments").alias("source_table"), "order_id", "shipment_id"),
+            frame.select(F.lit(name).alias("source_table"), *[c for c in wanted if c in frame.columns])
+            for name, frame in tables.items()
         ]
     )
 
@@ -252,7 +312,8 @@ def _judged_tables(run: Refresh) -> dict[str, DataFrame]:
 
 
 QUERIES: dict[str, Callable[[Refresh], DataFrame]] = {
-    "extract_orders": extract_orders,
+    **{f"extract_{name}": extract(name) for name in C.TABLES},
+    "reject_malformed": reject_malformed,
     "clean_dates": clean_dates,
     "clean_text": clean_text,
     "clean_carrier": clean_carrier,
@@ -282,6 +343,8 @@ QUERIES: dict[str, Callable[[Refresh], DataFrame]] = {
     "load_counts": lambda run: row_counts(run.tables()),
     "fk_check": lambda run: gate.foreign_key_violations(run.tables()),
     "contract_violations": contract_violations,
+    "violating_rows": violating_rows,
+    "publish_twice": publish_twice,
     "restrict_delete": restrict_delete,
     "cascade_delete": cascade_delete,
     "cascade_update": cascade_update,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard import contract as C
@@ -316,12 +316,14 @@ def trailing_month(t: Tables) -> DataFrame:
 def delay_reason_chart(t: Tables) -> DataFrame:
     """Reasons in chart order with the total and the longest bar; 'unknown' is muted."""
     reasons = reports.delay_reason_frequency(t)
-    whole = Window.partitionBy()
-    return reasons.select(
+    whole = reasons.agg(
+        F.struct(F.sum("shipments").alias("total"), F.max("shipments").alias("longest"))
+    ).scalar()
+    return reasons.withColumn("whole", whole).select(
         F.replace("delay_reason", F.lit("_"), F.lit(" ")).alias("label"),
         "shipments",
         "share_pct",
         (F.col("delay_reason") == C.UNKNOWN_DELAY_REASON).alias("muted"),
-        F.sum("shipments").over(whole).alias("total"),
-        F.max("shipments").over(whole).alias("longest"),
+        "whole.total",
+        "whole.longest",
     ).orderBy("shipments", "label")

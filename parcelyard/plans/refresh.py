@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from parcelyard.contract import TABLES
 from parcelyard.operators import dedup, gate, refuse
 from parcelyard.operators.clean import clean
+from parcelyard.session import prepare
 from parcelyard.sources.raw import RawTable
 from parcelyard.sources.store import ContractViolation, Store, discard, stage
 
@@ -95,7 +96,10 @@ class Refresh:
         """Refused rows of all tables, gathered from many small files into few."""
         return self._once(
             f"{self.folder}/rejects",
-            lambda: refuse.rejects({n: self.judged(n) for n in TABLES}).hint("rebalance"),
+            lambda: refuse.rejects(
+                {n: self.judged(n) for n in TABLES},
+                {n: r.malformed for n, r in self.raw.items() if r.malformed is not None},
+            ).hint("rebalance"),
         )
 
 
@@ -130,30 +134,60 @@ def publish(
 ) -> Row:
     """Full refresh of the store at ``root``; any failure leaves the live version as it was.
 
-    Rejects belong to the version they were refused from and go live with it.
+    Rejects belong to the version they were refused from and go live with it. Of a version
+    that breaks the contract the tables, the rejects and the offending keys stay in its
+    folder; of a run that fails otherwise nothing stays.
     """
+    prepare(spark, *(path for table in raw.values() for path in table.paths))
     store = Store(spark, root)
     fingerprint = store.check_contract(contract_path)
     before = store.current()
     log.info("before: %s", before)
 
     run = Refresh(spark, raw, store.new_folder())
-    tables = run.tables()
-    rejects = run.rejects()
-    broken = gate.violations(tables).where("violations > 0").collect()
-    if broken:
-        listed = "; ".join(f"{r.source_table}: {r.rule} ({r.violations} rows)" for r in broken)
-        raise ContractViolation(
-            f"{listed}. Nothing was published; the refused version is in {run.folder}"
+    try:
+        tables = run.tables()
+        rejects = run.rejects()
+        broken = gate.violations(tables).where("violations > 0").collect()
+        if broken:
+            stage(spark, f"{run.folder}/violations", gate.violating_rows(tables))
+            listed = "; ".join(f"{r.source_table}: {r.rule} ({r.violations} rows)" for r in broken)
+            raise ContractViolation(
+                f"{listed}. Nothing was published; the refused version is in {run.folder}, "
+                "its offending keys in violations there",
+                run.folder,
+            )
+        counts = row_counts(tables | {"rejects": rejects}).collect()
+        after = store.commit(
+            run.folder,
+            fingerprint,
+            {r.source_table: r.rows for r in counts},
+            before.version if before else 0,
         )
-
-    counts = {r.source_table: r.rows for r in row_counts(tables | {"rejects": rejects}).collect()}
-    after = store.commit(run.folder, fingerprint, counts)
+    except ContractViolation:
+        discard(spark, run.staging)
+        raise
+    except BaseException:
+        discard(spark, run.folder)
+        raise
     discard(spark, run.staging)
     log.info("after: %s", after)
     return after
 
 
+def prune(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete the folders of all but the newest ``keep`` versions; returns what went.
+
+    The manifest keeps their rows. Readers of a deleted version fail from then on.
+    """
+    if keep < 1:
+        raise ValueError("the live version cannot be deleted")
+    gone = Store(spark, root).folders()[keep:]
+    for folder in gone:
+        discard(spark, folder)
+    return gone
+
+
 class Snapshot:
     """The live version of a store."""
 

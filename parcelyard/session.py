@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
 # Rows in a shuffle against the compressed files they came from, and what one reducer
-# should get. The number of partitions is bounded because every mapper writes an index
-# entry for each; beyond it partitions grow and spill.
+# should get. Every mapper keeps an index entry for every reducer, so the number of
+# reducers is held at a level that 100 TB reach with 2 GB each: sorts and aggregates of
+# that size spill within an executor's share of memory, and hold at 1 PB with 20 GB.
 INFLATION = 4
 PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 40_000
+MOST_PARTITIONS = 200_000
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -63,13 +65,21 @@ def prepare(spark: SparkSession, *paths: str) -> None:
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
 
 
+def removed_at_exit(spark: SparkSession, folder: str) -> str:
+    """A folder of written stages that goes when the session's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Where stages are written: the folder the cluster names in ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    # In local[*] the executors are this process; local-cluster has processes of its own.
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="parcelyard-"))
     return context.getCheckpointDir()

@@ -17,17 +17,6 @@ def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _load_spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A table dealt out over the cores when its files are too few to keep them busy.
-
-    Parquet splits at row groups, so a small file is one task's work however many cores
-    there are. Anything large has splits enough and is read where it lies.
-    """
-    frame = _load(spark, sf_dir, name).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() * 2 <= cores else frame
-
-
 def _text(column: Column) -> Column:
     return column.cast("string")
 
@@ -86,9 +75,7 @@ def orders(spark: SparkSession, sf_dir: str) -> RawTable:
         copy(k % 101 == 0, iso, 1, 1),
     )
     base = (
-        _load_spread(
-            spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-        )
+        _load(spark, sf_dir, "orders")
         .join(_load(spark, sf_dir, "customer"), customer == F.col("c_custkey"))
         .select(
             k.alias("k"),
@@ -105,7 +92,11 @@ def orders(spark: SparkSession, sf_dir: str) -> RawTable:
         .otherwise(_text(k))
         .alias("order_id"),
         _text(F.col("site")).alias("warehouse_id"),
-        F.when(k % 307 == 0, "not-a-date").otherwise(F.col("written")).alias("order_date"),
+        F.when(k % 307 == 0, "not-a-date")
+        .when(k % 311 == 0, "9999-12-31")
+        .when(k % 313 == 0, "01/01/1500")
+        .otherwise(F.col("written"))
+        .alias("order_date"),
         F.when(k % 31 == 0, None)
         .when(k % 173 == 0, "oops")
         .otherwise(_text(F.col("customer")))
@@ -113,6 +104,10 @@ def orders(spark: SparkSession, sf_dir: str) -> RawTable:
         F.when(k % 149 == 0, "0")
         .when(k % 151 == 0, "-3")
         .when(k % 401 == 0, "lots")
+        .when(k % 403 == 0, "2.5")
+        .when(k % 407 == 0, "12345678901234567890")
+        .when(k % 409 == 0, "7.0")
+        .when(k % 419 == 0, "1e3")
         .otherwise(_text(k % 12 + 1 + F.col("extra")))
         .alias("quantity"),
         F.when(k % 33 == 0, "  ")
@@ -127,19 +122,7 @@ def orders(spark: SparkSession, sf_dir: str) -> RawTable:
 
 def shipments(spark: SparkSession, sf_dir: str) -> RawTable:
     part, supplier, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    lineitem = _load_spread(
-        spark,
-        sf_dir,
-        "lineitem",
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_linestatus",
-        "l_shipdate",
-    )
-    base = lineitem.select(
+    base = _load(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + line).alias("id"),
         "l_orderkey",
         part.alias("p"),

@@ -17,17 +17,75 @@ NA_TOKENS = (
 )
 
 
+# Columns that say where a line was read, and what could not be split into fields.
+_PLACE = ("_file", "_block", "_row")
+MALFORMED = "_malformed"
+
+
 @dataclass(frozen=True)
 class RawTable:
     """Text columns plus the ``order_by`` columns that say which row came first.
 
     ``unique`` promises that no two rows tie. Where they may, ties go by the cleaned
     values, so the order is total either way, but the values then travel with the order.
+    ``malformed`` holds source lines that are no rows of the table, one text column.
+    ``paths`` are the files, for fitting the session to their size.
     """
 
     frame: DataFrame
     order_by: tuple[str, ...]
     unique: bool = False
+    malformed: DataFrame | None = None
+    paths: tuple[str, ...] = ()
+
+
+def _split_lines(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
+    """Lines split into fields. A line with too many, too few or half-quoted ones is malformed.
+
+    A line break inside quotes leaves an odd number of quotes on either side of it, so
+    both halves are malformed rather than read as two rows.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    schema = ", ".join(f"`{name}` string" for name in [*names, MALFORMED])
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    half_quoted = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    first = F.from_csv(F.regexp_replace("value", "^\ufeff", ""), schema, options)
+    fields = lines.where(F.trim("value") != "").select("value", *_PLACE, first.alias("fields"))
+    # The header stands at the start of every file; a line equal to it is no row.
+    header = F.lit(True)
+    for name in names:
+        header = header & F.col(f"fields.{name}").eqNullSafe(F.lit(name))
+    return fields.where(~header).select(
+        *[F.col(f"fields.{name}").alias(name) for name in names],
+        *_PLACE,
+        F.when(half_quoted | F.col(f"fields.{MALFORMED}").isNotNull(), F.col("value")).alias(MALFORMED),
+    )
+
+
+def _split_files(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
+    """Records that may span lines; files are read whole, one task each."""
+    schema = ", ".join(f"`{name}` string" for name in [*names, MALFORMED])
+    frame = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .csv(path)
+    )
+    return frame.select(
+        *names,
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+        MALFORMED,
+    )
 
 
 def read_csv(
@@ -36,38 +94,39 @@ def read_csv(
     table: Table,
     na_tokens: Iterable[str] = NA_TOKENS,
     multi_line: bool = False,
+    header: list[str] | None = None,
 ) -> RawTable:
     """Read one table's CSV file(s) as text, columns matched by header name.
 
-    Rows are ordered by file path, then by position in the file. ``multi_line``
-    allows line breaks inside quotes, at the price of unsplittable files.
+    Rows are ordered by file path, then by position in the file. Nothing is dropped: what
+    cannot be split into the table's columns is kept in ``malformed``. ``multi_line``
+    allows line breaks inside quotes, at the price of unsplittable files. ``header`` names
+    the columns of files that have no header line.
     """
-    frame = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    expected, found = set(table.source_columns), set(frame.columns)
+    header = header or spark.read.option("header", True).option("escape", '"').csv(path).columns
+    expected, found = set(table.source_columns), set(header)
     if expected != found:
         raise ValueError(
             f"{table.name}: missing columns {sorted(expected - found)}, "
             f"unexpected columns {sorted(found - expected)}"
         )
+    frame = (_split_files if multi_line else _split_lines)(spark, path, header)
     tokens = list(na_tokens)
     values = [
         F.when(~F.col(c).isin(tokens), F.col(c)).alias(c) if tokens else F.col(c)
         for c in table.source_columns
     ]
     # Scan tasks are not handed out in file order, so a row number alone would not do.
-    placed = frame.select(
-        *values,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
+    return RawTable(
+        frame.where(F.col(MALFORMED).isNull()).select(*values, *_PLACE),
+        _PLACE,
+        unique=True,
+        # Spark reads no file for the malformed text alone, so a value goes along with it.
+        malformed=frame.where(F.col(MALFORMED).isNotNull()).select(
+            F.coalesce(MALFORMED, header[0]).alias("line")
+        ),
+        paths=(path,) if isinstance(path, str) else tuple(path),
     )
-    return RawTable(placed, ("_file", "_block", "_row"), unique=True)
 
 
 def read_csv_tables(spark: SparkSession, directory: str, **options) -> dict[str, RawTable]:

@@ -28,7 +28,15 @@ class ContractDrift(RuntimeError):
 
 
 class ContractViolation(RuntimeError):
-    """The new tables break a constraint; nothing was published."""
+    """The new tables break a constraint; nothing was published. ``folder`` has them."""
+
+    def __init__(self, message: str, folder: str):
+        super().__init__(message)
+        self.folder = folder
+
+
+class LostRace(RuntimeError):
+    """Another publish went live meanwhile; this one was not published."""
 
 
 def stage(spark: SparkSession, path: str, frame: DataFrame, *partition_by: str) -> DataFrame:
@@ -53,14 +61,23 @@ class Store:
 
     def current(self) -> Row | None:
         """The manifest row of the live version; None before the first publish."""
+        rows = self._newest_first()
+        newest = rows.take(1) if rows else []
+        return newest[0] if newest else None
+
+    def folders(self) -> list[str]:
+        """Folders of all versions, newest first."""
+        rows = self._newest_first()
+        return [row.folder for row in rows.collect()] if rows else []
+
+    def _newest_first(self) -> DataFrame | None:
         try:
             rows = self.spark.read.schema(MANIFEST_SCHEMA).json(self.manifest)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        newest = rows.orderBy(rows.version.desc(), rows.published_at.desc()).take(1)
-        return newest[0] if newest else None
+        return rows.orderBy(rows.version.desc(), rows.published_at.desc())
 
     def check_contract(self, contract_path: str | None = None) -> str:
         """The contract's fingerprint, once it is known to be the store's."""
@@ -68,35 +85,47 @@ class Store:
         live = self.current()
         if live is None:
             return now
-        advice = (
-            "A refresh rebuilds everything from the raw files, so starting a new store "
-            f"loses nothing: remove {self.root} or name another folder, then refresh again. "
-            "Nothing has been deleted."
-        )
-        if not live.fingerprint:
-            raise ContractDrift(
-                f"{self.root} predates contract fingerprints, so it cannot be compared. {advice}"
-            )
         if live.fingerprint != now:
+            stamp = live.fingerprint or "none, it was written without one"
             raise ContractDrift(
-                f"The contract has changed since {self.root} was built (store "
-                f"{live.fingerprint}, contract now {now}). {advice}"
+                f"Version {live.version} of {self.root} carries contract {stamp}; this "
+                f"program's is {now}. Tables of two contracts do not go into one store. "
+                "Publish to an empty folder; this store is left as it is."
             )
         return now
 
     def new_folder(self) -> str:
         return f"{self.root}/versions/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
 
-    def commit(self, folder: str, fingerprint: str | None, counts: dict[str, int]) -> Row:
-        """Make ``folder`` the live version. One appended file: it is there or it is not."""
+    def commit(
+        self, folder: str, fingerprint: str | None, counts: dict[str, int], after: int
+    ) -> Row:
+        """Make ``folder`` the live version, next to version ``after`` that it was made from.
+
+        One appended file: it is there or it is not. The number is claimed first, by
+        creating a file that must not exist yet, so that of two publishes one is refused.
+        """
         live = self.current()
+        if (live.version if live else 0) != after:
+            raise LostRace(f"{self.root} is no longer at version {after}")
+        claim = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{after + 1}")
+        files = claim.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.createNewFile(claim):
+            raise LostRace(
+                f"another publish holds {self.root}/claims/{after + 1}; "
+                "if it died, delete that file and publish again"
+            )
         row = Row(
-            version=live.version + 1 if live else 1,
+            version=after + 1,
             folder=folder,
             fingerprint=fingerprint,
             published_at=time.time_ns(),
             **{k: counts[k] for k in ("warehouses", "orders", "shipments", "rejects")},
         )
         frame = self.spark.createDataFrame([row], MANIFEST_SCHEMA)
-        frame.coalesce(1).write.mode("append").json(self.manifest)
+        try:
+            frame.coalesce(1).write.mode("append").json(self.manifest)
+        except BaseException:
+            files.delete(claim, False)
+            raise
         return row

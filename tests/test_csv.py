@@ -8,19 +8,19 @@ from parcelyard import contract as C
 from parcelyard.plans.refresh import Refresh
 from parcelyard.sources.raw import read_csv, read_csv_tables
 
-WAREHOUSES = "warehouse_id,name,region,city,state\n1,Alpha DC,NORTHEAST,Newark,nj\n"
+WAREHOUSES = "warehouse_id,name,region,city,state\n1,Quay 4,NORTH SEA,Emden,ni\n"
 HEADER = "order_id,warehouse_id,order_date,customer_id,quantity,product_category\n"
 ORDERS = [
-    '10,1,2026-03-01,500,2,"toys, ""big"""\n',
-    "10,1,2026-03-01,501,2,toys\n",
-    "11,1,03/02/2026,NA,0007,  Toys \n",
-    "11,1,2026-03-02,,7,toys\n",
-    "12,1,null,1,1,toys\n",
+    '10,1,2025-05-11,640,2,"tiles, ""big"""\n',
+    "10,1,2025-05-11,641,2,tiles\n",
+    "11,1,05/12/2025,NA,0007,  Tiles \n",
+    "11,1,2025-05-12,,7,tiles\n",
+    "12,1,null,1,1,tiles\n",
 ]
 SHIPMENTS = (
     "shipment_id,order_id,carrier,ship_date,expected_delivery_date,actual_delivery_date,delay_reason\n"
-    "20,10, FEDEX,2026-03-02,2026-03-05,2026-03-06,\n"
-    "21,11,N/A,2026/03/02,05-Mar-2026,,None\n"
+    "20,10, FEDEX,2025-05-12,2025-05-15,2025-05-16,\n"
+    "21,11,N/A,2025/05/12,15-May-2025,,None\n"
 )
 
 
@@ -54,7 +54,7 @@ def test_one_file_and_many_give_the_same(spark, tmp_path):
     assert outcome(spark, parts, tmp_path / "w2") == one
     run = Refresh(spark, read_csv_tables(spark, whole), str(tmp_path / "w3"))
     orders = {r.order_id: r for r in run.loaded("orders").collect()}
-    assert orders[10].customer_id == 500 and orders[10].product_category == 'toys, "big"'
+    assert orders[10].customer_id == 640 and orders[10].product_category == 'tiles, "big"'
     assert orders[11].customer_id == 0 and orders[11].quantity == 7
     assert sorted(r.reason for r in run.rejects().collect()) == [C.KEY_CONFLICT, C.MISSING_DATE]
     shipments = {r.shipment_id: r for r in run.loaded("shipments").collect()}
@@ -67,14 +67,14 @@ def test_text_and_missing_values(spark, tmp_path):
     table = read_csv(spark, f"{raw}/orders.csv", C.ORDERS)
     assert {t for c, t in table.frame.dtypes if c in C.ORDERS.source_columns} == {"string"}
     third = table.frame.collect()[2]
-    assert (third.customer_id, third.quantity, third.product_category) == (None, "0007", "  Toys ")
+    assert (third.customer_id, third.quantity, third.product_category) == (None, "0007", "  Tiles ")
     kept = read_csv(spark, f"{raw}/orders.csv", C.ORDERS, na_tokens=()).frame.collect()
     assert kept[2].customer_id == "NA" and kept[4].order_date == "null"
 
 
 def test_columns_go_by_name(spark, tmp_path):
     swapped = "quantity,order_id,warehouse_id,order_date,customer_id,product_category\n"
-    raw = folder(tmp_path / "raw", swapped + "2,10,1,2026-03-01,500,toys\n")
+    raw = folder(tmp_path / "raw", swapped + "2,10,1,2025-05-11,640,tiles\n")
     row = read_csv(spark, f"{raw}/orders.csv", C.ORDERS).frame.first()
     assert (row.order_id, row.quantity) == ("10", "2")
     (tmp_path / "raw" / "orders.csv").write_text("order_id,colour\n1,red\n")
@@ -96,4 +96,31 @@ def test_commands(spark, tmp_path, capsys, monkeypatch):
     assert command.main(["report", store, "zebra"]) == 1
     monkeypatch.setattr(C, "fingerprint", lambda path=None: "other")
     assert command.main(["refresh", raw, store]) == 2
-    assert "Nothing has been deleted" in capsys.readouterr().err
+    assert "left as it is" in capsys.readouterr().err
+
+
+def test_lines_that_are_no_rows_are_refused_with_their_text(spark, tmp_path):
+    bad = [
+        "13,1,2025-05-11,5,2,tiles,EXTRA,FIELDS\n",
+        "14,1,2025-05-11,5\n",
+        '15,1,2025-05-11,5,2,"ti\nles"\n',
+        '16,1,2025-05-11,5,2,"tiles\n',
+    ]
+    raw = folder(tmp_path / "raw", HEADER + ORDERS[0] + "".join(bad) + "\n" + "17,1,2025-05-11,5,2,\n")
+    run = Refresh(spark, read_csv_tables(spark, raw), str(tmp_path / "work"))
+    assert ids(run.loaded("orders"), "order_id") == [10, 17]
+    lines = "".join(bad).splitlines()
+    refused = run.rejects().where("source_table = 'orders'").collect()
+    assert sorted(r.unparsed for r in refused) == sorted(lines)
+    assert {r.reason for r in refused} == {C.MALFORMED_LINE}
+
+    whole = read_csv(spark, f"{raw}/orders.csv", C.ORDERS, multi_line=True)
+    assert "ti\nles" in {r.product_category for r in whole.frame.collect()}
+    assert any("EXTRA" in r.line for r in whole.malformed.collect())
+
+
+def test_header_of_every_file_is_skipped(spark, tmp_path):
+    raw = folder(tmp_path / "raw", {"a.csv": HEADER + ORDERS[0], "b.csv": HEADER, "c.csv": HEADER + ORDERS[1]})
+    table = read_csv(spark, f"{raw}/orders.csv", C.ORDERS)
+    assert [r.customer_id for r in table.frame.orderBy(*table.order_by).collect()] == ["640", "641"]
+    assert table.malformed.count() == 0

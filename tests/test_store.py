@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parcelyard import contract
 from parcelyard.plans import refresh
 from parcelyard.plans.refresh import Snapshot, publish, write_rejects_csv
-from parcelyard.sources.store import ContractDrift, ContractViolation, Store
+from parcelyard.sources.store import ContractDrift, ContractViolation, LostRace, Store
 
 CONTRACT = Path(contract.__file__).read_text()
 
@@ -26,7 +26,7 @@ def contents(spark, root):
 
 def test_publish_twice(spark, tmp_path):
     root = str(tmp_path)
-    bad = ("11", "1", "", "1", "1", "toys")
+    bad = ("301", "7", "", "1", "1", "garden")
     with pytest.raises(FileNotFoundError):
         Snapshot(spark, root)
     first = publish(spark, raw(spark, orders=[ORDER, ORDER, bad]), root)
@@ -35,7 +35,7 @@ def test_publish_twice(spark, tmp_path):
     assert contents(spark, root) == before
     assert (first.version, second.version) == (1, 2)
     assert (second.warehouses, second.orders, second.shipments, second.rejects) == (1, 1, 1, 1)
-    assert Snapshot(spark, root).table("orders").first().order_date == dt.date(2026, 3, 1)
+    assert Snapshot(spark, root).table("orders").first().order_date == dt.date(2024, 11, 18)
     # Intermediate stages do not outlive a publish.
     assert not list(Path(root).glob("versions/*/staging"))
     # A full refresh mirrors the source: rows gone there are gone here.
@@ -52,11 +52,14 @@ def test_vocabulary_violation_keeps_the_live_version(spark, tmp_path):
     root = str(tmp_path)
     publish(spark, raw(spark), root)
     before = contents(spark, root)
-    strange = ("21", "10", "UPS", "2026-03-02", "2026-03-05", "2026-03-09", "act_of_god")
-    with pytest.raises(ContractViolation, match=r"delay_reason in vocabulary \(1 rows\)"):
+    strange = ("9001", *SHIPMENT[1:5], "2024-12-01", "strike")
+    with pytest.raises(ContractViolation, match=r"delay_reason in vocabulary \(1 rows\)") as refused:
         publish(spark, raw(spark, shipments=[SHIPMENT, strange]), root)
+    found = spark.read.parquet(f"{refused.value.folder}/violations").collect()
+    assert [tuple(r) for r in found] == [("shipments", "delay_reason in vocabulary", 9001)]
+    assert not list(Path(root).glob("versions/*/staging"))
     with pytest.raises(ContractViolation, match=r"region not null \(1 rows\)"):
-        publish(spark, raw(spark, warehouses=[("1", "A", " ", "C", "S")]), root)
+        publish(spark, raw(spark, warehouses=[("7", "A", " ", "C", "S")]), root)
     assert contents(spark, root) == before
 
 
@@ -73,42 +76,57 @@ def test_failure_between_tables_keeps_the_live_version(spark, tmp_path, monkeypa
 
     monkeypatch.setattr(refresh.refuse, "judged", fails_on_shipments)
     with pytest.raises(OSError):
-        publish(spark, raw(spark, orders=[("30", *ORDER[1:])]), root)
+        publish(spark, raw(spark, orders=[("333", *ORDER[1:])]), root)
+    assert len(list(Path(root).glob("versions/*"))) == 1
     assert contents(spark, root) == before
 
 
-def test_contract_drift(spark, tmp_path):
-    store, path = Store(spark, str(tmp_path / "store")), tmp_path / "contract.py"
-    path.write_text(CONTRACT)
-    stamped = store.check_contract(path)
-    assert stamped == contract.fingerprint()
-    counts = {"warehouses": 1, "orders": 1, "shipments": 1, "rejects": 0}
-    store.commit("somewhere", stamped, counts)
-    assert store.current().fingerprint == stamped
-    assert store.check_contract(path) == stamped
-
-    path.write_text(CONTRACT.replace('"customs",', '"customs",\n    "act_of_god",'))
-    changed = contract.fingerprint(path)
-    with pytest.raises(ContractDrift) as drift:
-        store.check_contract(path)
-    message = str(drift.value)
-    assert stamped in message and changed in message and "Nothing has been deleted" in message
-    assert store.root in message
-    assert store.current().folder == "somewhere"
-
-    path.write_text("# an added comment\n" + CONTRACT)
+def test_a_store_takes_one_contract_only(spark, tmp_path, monkeypatch):
+    root, edited = str(tmp_path / "store"), tmp_path / "edited.py"
+    publish(spark, raw(spark), root)
+    before, stamp = contents(spark, root), contract.fingerprint()
+    for text in (CONTRACT + "\n", CONTRACT.replace("UNKNOWN_CUSTOMER_ID = 0", "UNKNOWN_CUSTOMER_ID = 1")):
+        edited.write_text(text)
+        with pytest.raises(ContractDrift, match=f"{stamp}.*{contract.fingerprint(edited)}"):
+            publish(spark, raw(spark, orders=[]), root, contract_path=edited)
+        assert contents(spark, root) == before
+    # An empty folder takes the edited contract, and then only that one.
+    other = str(tmp_path / "other")
+    publish(spark, raw(spark), other, contract_path=edited)
     with pytest.raises(ContractDrift):
-        publish(spark, raw(spark), store.root, contract_path=path)
-    path.write_text(CONTRACT)
-    assert store.check_contract(path) == stamped
-
-    store.commit("somewhere", None, counts)
-    with pytest.raises(ContractDrift, match="predates"):
-        store.check_contract(path)
-
-    other = Store(spark, str(tmp_path / "rebuilt"))
-    other.commit("elsewhere", changed, counts)
-    assert other.current().fingerprint == changed != stamped
+        publish(spark, raw(spark), other)
+    # A version without a stamp compares with nothing.
+    monkeypatch.setattr(contract, "fingerprint", lambda path=None: None)
+    bare = Store(spark, str(tmp_path / "bare"))
+    bare.commit("somewhere", None, dict.fromkeys(("warehouses", "orders", "shipments", "rejects"), 0), 0)
+    monkeypatch.undo()
+    with pytest.raises(ContractDrift, match="none"):
+        bare.check_contract()
+
+
+def test_overtaken_publish_is_refused(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    counts = dict.fromkeys(("warehouses", "orders", "shipments", "rejects"), 0)
+    assert store.commit("a", "f", counts, 0).version == 1
+    with pytest.raises(LostRace):
+        store.commit("late", "f", counts, 0)
+    (tmp_path / "claims" / "2").touch()
+    with pytest.raises(LostRace, match="claims/2"):
+        store.commit("b", "f", counts, 1)
+    (tmp_path / "claims" / "2").unlink()
+    assert store.commit("b", "f", counts, 1).version == 2
+    assert store.folders() == ["b", "a"]
+
+
+def test_prune_keeps_the_newest(spark, tmp_path):
+    root = str(tmp_path)
+    for _ in range(3):
+        publish(spark, raw(spark), root)
+    assert len(refresh.prune(spark, root, 2)) == 1
+    assert len(list(Path(root).glob("versions/*"))) == 2
+    assert Snapshot(spark, root).table("orders").count() == 1
+    with pytest.raises(ValueError):
+        refresh.prune(spark, root, 0)
 
 
 def test_snapshot_is_consistent_for_a_reader(spark, tmp_path):
@@ -116,7 +134,7 @@ def test_snapshot_is_consistent_for_a_reader(spark, tmp_path):
     root = str(tmp_path)
     publish(spark, raw(spark), root)
     old = Snapshot(spark, root).table("orders")
-    publish(spark, raw(spark, orders=[("30", *ORDER[1:])], shipments=[]), root)
-    assert ids(old, "order_id") == [10]
-    assert ids(Snapshot(spark, root).table("orders"), "order_id") == [30]
-    assert old.where(F.col("order_id") == 10).count() == 1
+    publish(spark, raw(spark, orders=[("333", *ORDER[1:])], shipments=[]), root)
+    assert ids(old, "order_id") == [300]
+    assert ids(Snapshot(spark, root).table("orders"), "order_id") == [333]
+    assert old.where(F.col("order_id") == 300).count() == 1
