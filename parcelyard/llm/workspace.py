@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelyard.session import shared_folder
+from parcelyard.session import removed_at_exit, shared_folder
 
 
 class Workspace:
@@ -18,13 +18,8 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-        path, files = self._hadoop(self.folder)
-        files.deleteOnExit(path)
-
-    def _hadoop(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        folder = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+        self.folder = removed_at_exit(spark, folder)
 
     def write(self, frame: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
@@ -32,5 +27,5 @@ class Workspace:
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def drop(self, name: str) -> None:
-        path, files = self._hadoop(f"{self.folder}/{name}")
-        files.delete(path, True)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
