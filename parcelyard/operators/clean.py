@@ -76,7 +76,9 @@ def unparsed_text(table: Table) -> Column:
 
 def clean(table: Table, raw: RawTable) -> DataFrame:
     """Typed columns, the source ordinal, and the text that cleaning could not keep."""
-    return values(table, raw.frame, F.struct(*raw.order_by).alias(ORDINAL)).select(
+    # A number can be folded by hashing, a struct of several columns only by sorting.
+    place = F.col(raw.order_by[0]) if len(raw.order_by) == 1 else F.struct(*raw.order_by)
+    return values(table, raw.frame, place.alias(ORDINAL)).select(
         *[filled(f).alias(f.name) for f in table.fields],
         ORDINAL,
         unparsed_text(table).alias(UNPARSED),

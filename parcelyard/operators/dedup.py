@@ -10,32 +10,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelyard.contract import WHOLE, Table
+from parcelyard.contract import DATE, WHOLE, Table
 from parcelyard.functions.text import present
 from parcelyard.operators.clean import ORDINAL, UNPARSED
 
 COPIES = "copies"
 FIRST = "_first"
+DOUBT = "_doubt"
 CONFLICT = "_conflict"
 
 
-def distinct_rows(table: Table, cleaned: DataFrame) -> DataFrame:
-    """One row per set of equal rows (null equals null), at the place of its first copy.
+def _may_have_lost_text(table: Table) -> Column:
+    """Rows whose values may stand for a text that could not be read.
+
+    Such a value is null, or the fill in its place, so equal rows agree on it.
+    """
+    doubt = F.lit(False)
+    for field in table.of_kind(WHOLE) + table.of_kind(DATE):
+        value = F.col(field.name)
+        lost = value.isNull() if field.fill is None else value == F.lit(field.fill)
+        doubt = doubt | lost
+    return doubt
+
+
+def folded_rows(table: Table, cleaned: DataFrame) -> DataFrame:
+    """Equal rows with the same unread text folded, and whether their like may have another.
 
     Grouping by all columns spreads the different rows of a hot key, and the partial
-    aggregate folds equal rows before the shuffle. The key comes first in the grouping
-    so that sorting decides on it.
+    aggregate folds equal rows before the shuffle. The unread text is grouped by as well,
+    so that what is aggregated are numbers and hashing does. The key comes first in the
+    grouping so that sorting decides on it.
     """
-    first = F.min(F.struct(ORDINAL, UNPARSED))
+    return cleaned.groupBy(*table.source_columns, UNPARSED).agg(
+        F.min(ORDINAL).alias(ORDINAL),
+        F.count(F.lit(1)).alias(COPIES),
+        F.max(_may_have_lost_text(table).cast("int")).alias(DOUBT),
+    )
+
+
+def distinct_rows(table: Table, folded: DataFrame, refolded: DataFrame) -> DataFrame:
+    """One row per set of equal rows (null equals null), at the place of its first copy."""
+    kept = [*table.source_columns, ORDINAL, UNPARSED, COPIES]
+    whole = folded.where(f"{DOUBT} = 0").select(*kept).unionByName(refolded)
+    return whole.withColumn(UNPARSED, present(F.col(UNPARSED)))
+
+
+def refolded_rows(table: Table, folded: DataFrame) -> DataFrame:
+    """Rows that may differ in unread text alone, with that of the first copy."""
+    columns = table.source_columns
     return (
-        cleaned.groupBy(*table.source_columns)
-        .agg(first.alias(FIRST), F.count(F.lit(1)).alias(COPIES))
-        .select(
-            *table.source_columns,
-            f"{FIRST}.{ORDINAL}",
-            present(F.col(f"{FIRST}.{UNPARSED}")).alias(UNPARSED),
-            COPIES,
-        )
+        folded.where(f"{DOUBT} = 1")
+        .groupBy(*columns)
+        .agg(F.min(F.struct(ORDINAL, UNPARSED)).alias(FIRST), F.sum(COPIES).alias(COPIES))
+        .select(*columns, f"{FIRST}.{ORDINAL}", f"{FIRST}.{UNPARSED}", COPIES)
     )
 
 

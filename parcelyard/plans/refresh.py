@@ -1,9 +1,10 @@
 """Raw tables to judged tables to a published version.
 
-Per table the source is read once. Four written stages cut the lineage, so a lost
-executor costs one stage, and every later join starts from files of known size:
+Per table the source is read once. Written stages cut the lineage, so a lost executor
+costs one stage, and every later join starts from files of known size:
 
-  distinct   cleaned rows without duplicates       one shuffle, by whole row
+  folded     cleaned rows without duplicates       one shuffle, by whole row, hashed
+  refolded   those whose unread texts may differ   the same once more, for these few
   contested  keys claimed by different rows        one shuffle of the key alone
   first      which row keeps each contested key    order of the contested rows
   judged     every row with reason and outcome     joins with first and with the parent
@@ -50,10 +51,16 @@ class Refresh:
         return clean(TABLES[name], self.raw[name])
 
     def distinct(self, name: str) -> DataFrame:
-        return self._once(
-            f"{self.staging}/{name}_distinct",
-            lambda: dedup.distinct_rows(TABLES[name], self.cleaned(name)),
+        table = TABLES[name]
+        folded = self._once(
+            f"{self.staging}/{name}_folded",
+            lambda: dedup.folded_rows(table, self.cleaned(name)),
+            dedup.DOUBT,
+        )
+        refolded = self._once(
+            f"{self.staging}/{name}_refolded", lambda: dedup.refolded_rows(table, folded)
         )
+        return dedup.distinct_rows(table, folded, refolded)
 
     def contested(self, name: str) -> DataFrame:
         return self._once(

@@ -7,6 +7,8 @@ date styles, sloppy text, duplicates, conflicts, bad numbers and orphans.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +48,9 @@ def warehouses(spark: SparkSession, sf_dir: str) -> RawTable:
         sloppy.alias("region"),
         F.lower("n_name").alias("city"),
         F.lower(F.substring(name, 1, 2)).alias("state"),
+        key.cast("bigint").alias("ord"),
     )
-    return RawTable(frame, ("warehouse_id",))
+    return RawTable(frame, ("ord",))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> RawTable:
@@ -176,11 +179,16 @@ def shipments(spark: SparkSession, sf_dir: str) -> RawTable:
         _styled(expected, p).alias("expected_delivery_date"),
         _styled(actual, p).alias("actual_delivery_date"),
         F.when((actual > expected) & (p % 11 != 0), reason).alias("delay_reason"),
-        p.alias("ord1"),
-        F.col("s").alias("ord2"),
-        F.col("l_quantity").alias("ord3"),
+        # Part, supplier and quantity as one number.
+        (
+            p.cast("decimal(18,0)") * F.lit(Decimal(10**15))
+            + F.col("s").cast("decimal(12,0)") * F.lit(Decimal(10**3))
+            + F.col("l_quantity").cast("decimal(3,0)")
+        )
+        .cast("decimal(38,0)")
+        .alias("ord"),
     )
-    return RawTable(frame, ("ord1", "ord2", "ord3"))
+    return RawTable(frame, ("ord",))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, RawTable]:

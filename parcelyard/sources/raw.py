@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard.contract import TABLES, Table
@@ -17,9 +19,11 @@ NA_TOKENS = (
 )
 
 
-# Columns that say where a line was read, and what could not be split into fields.
-_PLACE = ("_file", "_block", "_row")
-MALFORMED = "_malformed"
+# Where a record was read, and what could not be split into fields.
+PLACE, MALFORMED = "_place", "_malformed"
+
+# Digits of a record's place: number of its file, start of its block, row in its task.
+_DIGITS = (10, 14, 10)
 
 
 @dataclass(frozen=True)
@@ -39,6 +43,34 @@ class RawTable:
     paths: tuple[str, ...] = ()
 
 
+def _with_place(spark: SparkSession, path: str | list[str], records: DataFrame) -> DataFrame:
+    """``records`` with their place as one number, in the order of files by path.
+
+    Scan tasks are not handed out in file order, so a row number alone would not do; and
+    a number of fixed width is what an aggregate can keep without sorting.
+    """
+    listed = spark.read.text(path).inputFiles()
+    # A listing writes file:///x where a record says file:/x.
+    files = sorted({re.sub("^file:/+", "file:/", name) for name in listed})
+    numbers = spark.createDataFrame(list(enumerate(files)), "_number long, _path string")
+    file, block, row = _DIGITS
+    unknown = F.raise_error(F.concat(F.lit("a file that was not listed: "), "_file"))
+
+    def shifted(value: Column, digits: int, by: int) -> Column:
+        return value.cast(f"decimal({digits},0)") * F.lit(Decimal(10**by))
+
+    place = (
+        shifted(F.coalesce("_number", unknown), file, block + row)
+        + shifted(F.col("_block"), block, row)
+        + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)).cast(f"decimal({row},0)")
+    )
+    return (
+        records.join(numbers, F.col("_file") == F.col("_path"), "left")
+        .withColumn(PLACE, place.cast("decimal(38,0)"))
+        .drop("_file", "_block", "_row", "_number", "_path")
+    )
+
+
 def _split_lines(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
     """Lines split into fields. A line with too many, too few or half-quoted ones is malformed.
 
@@ -55,14 +87,16 @@ def _split_lines(spark: SparkSession, path: str | list[str], names: list[str]) -
     options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
     half_quoted = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
     first = F.from_csv(F.regexp_replace("value", "^\ufeff", ""), schema, options)
-    fields = lines.where(F.trim("value") != "").select("value", *_PLACE, first.alias("fields"))
+    fields = _with_place(spark, path, lines.where(F.trim("value") != "")).select(
+        "value", PLACE, first.alias("fields")
+    )
     # The header stands at the start of every file; a line equal to it is no row.
     header = F.lit(True)
     for name in names:
         header = header & F.col(f"fields.{name}").eqNullSafe(F.lit(name))
     return fields.where(~header).select(
         *[F.col(f"fields.{name}").alias(name) for name in names],
-        *_PLACE,
+        PLACE,
         F.when(half_quoted | F.col(f"fields.{MALFORMED}").isNotNull(), F.col("value")).alias(MALFORMED),
     )
 
@@ -79,13 +113,14 @@ def _split_files(spark: SparkSession, path: str | list[str], names: list[str]) -
         .option("columnNameOfCorruptRecord", MALFORMED)
         .csv(path)
     )
-    return frame.select(
+    records = frame.select(
         *names,
+        MALFORMED,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
-        MALFORMED,
     )
+    return _with_place(spark, path, records)
 
 
 def read_csv(
@@ -116,10 +151,9 @@ def read_csv(
         F.when(~F.col(c).isin(tokens), F.col(c)).alias(c) if tokens else F.col(c)
         for c in table.source_columns
     ]
-    # Scan tasks are not handed out in file order, so a row number alone would not do.
     return RawTable(
-        frame.where(F.col(MALFORMED).isNull()).select(*values, *_PLACE),
-        _PLACE,
+        frame.where(F.col(MALFORMED).isNull()).select(*values, PLACE),
+        (PLACE,),
         unique=True,
         # Spark reads no file for the malformed text alone, so a value goes along with it.
         malformed=frame.where(F.col(MALFORMED).isNotNull()).select(
