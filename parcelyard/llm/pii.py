@@ -42,6 +42,8 @@ SYLLABLES = {
 _WORD = r"\p{L}\p{N}"
 _CAPITAL = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+# What a name or title starts with; spares a regex all the lists at most places.
+_INITIAL = "[A-Z\u0410-\u042f\u0433]"
 _ALL_GIVEN = "|".join(sorted({n for names in GIVEN.values() for n in names}))
 
 # Patterns by type, in the order in which they are tried at a place.
@@ -52,12 +54,12 @@ PATTERNS = {
     "phone": rf"(?<![{_WORD}.+])(?:\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}|\+(?!1[ .(-])\d{{1,3}}(?:[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})){{2,5}}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?![{_WORD}])",
     "ssn": rf"(?<![{_WORD}-])\d{{3}}-\d{{2}}-\d{{4}}(?![{_WORD}-])",
     "ip": rf"(?<![{_WORD}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![{_WORD}]|\.\d)",
-    "person": rf"(?<!\p{{L}})(?:(?:{'|'.join(TITLES)}) (?:(?:{_ALL_GIVEN}) )?{_CAPITAL}|(?:{_ALL_GIVEN}) {_CAPITAL})(?!\p{{L}})",
+    "person": rf"(?={_INITIAL})(?<!\p{{L}})(?:(?:{'|'.join(TITLES)}) (?:(?:{_ALL_GIVEN}) )?{_CAPITAL}|(?:{_ALL_GIVEN}) {_CAPITAL})(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 
 # A text without any of these signs has no entity.
-SIGN = rf"[0-9@]|(?:{'|'.join(TITLES)}) |(?<!\p{{L}})(?:{_ALL_GIVEN}) "
+SIGN = rf"[0-9@]|(?={_INITIAL})(?<!\p{{L}})(?:{'|'.join(TITLES)}|{_ALL_GIVEN}) "
 
 # How often a surrogate is drawn before the form is given up as too small for its values.
 ATTEMPTS = 20
