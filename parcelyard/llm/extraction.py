@@ -40,6 +40,15 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 OPAQUE = frozenset("script style noscript template title textarea iframe object svg canvas select button".split())
+# Opaque elements without markup inside: only their own end ends them.
+RAW = frozenset("script style title textarea iframe".split())
+# Opaque elements that the next one of their kind ends.
+FLAT = frozenset("button select".split())
+# Start tags that an opaque element without an end does not hold.
+OUTSIDE = frozenset(
+    "address article aside blockquote body dd details div dl dt fieldset figcaption figure footer "
+    "form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table td th tr ul".split()
+)
 CLOSES = {
     "li": ("li", "ul ol menu"),
     "dt": ("dt dd", "dl"),
@@ -53,6 +62,7 @@ BLOCKS_IN_P = frozenset("div section article ul ol table h1 h2 h3 h4 h5 h6 p".sp
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 BROKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+TAG_START = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*+)")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)""", re.IGNORECASE)
 NAME_PARTS = re.compile(r"[a-z]+")
 
@@ -81,12 +91,86 @@ class Node:
     features: list = field(default_factory=list)
 
 
+def _tags(page: str, at: int) -> Iterator[tuple[int, bool, str]]:
+    """Place, whether closing, and name of the tags from ``at`` on, not those in comments or raw text."""
+    while match := TAG_START.search(page, at):
+        at = match.end()
+        if match[2] is None:
+            end = page.find("-->", at)
+            if end < 0:
+                return
+            at = end + 3
+            continue
+        closing, tag = match[1] == "/", match[2].lower()
+        yield match.start(), closing, tag
+        if tag in RAW and not closing:
+            end = _end_tag(tag).search(page, at)
+            if not end:
+                return
+            at = end.end()
+
+
+@lru_cache(maxsize=None)
+def _end_tag(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\b[^>]*+>?", re.IGNORECASE)
+
+
+def _closed(page: str) -> set[int]:
+    """Ends of the names in start tags of opaque elements that end before what is around them."""
+    found: set[int] = set()
+    stack: list[list] = []
+    opened: dict[str, int] = defaultdict(int)
+    flat: dict[str, list] = {}
+    for place, closing, name in _tags(page, 0):
+        if name in INLINE or name in VOID or name in RAW:
+            continue
+        if closing:
+            if opened[name]:
+                while True:
+                    last, start = stack.pop()
+                    opened[last] -= 1
+                    if last == name:
+                        break
+                if name in OPAQUE:
+                    found.add(start)
+            continue
+        if name in OPAQUE and page[page.find(">", place) - 1] == "/":
+            continue
+        if name in FLAT:
+            if opened[name]:
+                flat[name][0] = ""
+                opened[name] -= 1
+                opened[""] += 1
+        stack.append([name, place + 1 + len(name)])
+        flat[name] = stack[-1]
+        opened[name] += 1
+    return found
+
+
+def _left_open(page: str, at: int) -> int:
+    """Where the inside of an opaque element without an end ends.
+
+    That is at the end of an element around it, at a block, or with the page.
+    """
+    opened: dict[str, int] = defaultdict(int)
+    for place, closing, name in _tags(page, at):
+        if name in OUTSIDE or name in FLAT and not closing:
+            return place
+        if name in VOID:
+            continue
+        opened[name] += -1 if closing else 1
+        if opened[name] < 0:
+            return place
+    return len(page)
+
+
 def parse(page: str) -> list[Node]:
     """Nodes in page order, parents before children; node 0 is the root."""
     nodes = [Node("#root", frozenset(), -1)]
     stack = [0]
     pieces: list[str] = []
     linked, links = 0, 0
+    closed: set[int] | None = None
 
     def end_block() -> None:
         nonlocal linked
@@ -122,10 +206,16 @@ def parse(page: str) -> list[Node]:
             continue
         match = TAG.match(page, mark) or BROKEN.match(page, mark)
         if not match:
-            if page[mark + 1 : mark + 2].isalpha() or page.startswith("</", mark):
+            lead = 2 if page.startswith("</", mark) else 1
+            after = page[mark + lead : mark + lead + 1]
+            if after.isascii() and after.isalpha() or lead == 2 and not after:
                 break  # cut off inside a tag
-            add("<")
-            at = mark + 1
+            end = page.find(">", mark) if lead == 2 else -1
+            if end < 0:
+                add(page[mark : mark + lead])
+                at = mark + lead
+            else:
+                at = end + 1  # a comment
             continue
         at = match.end()
         closing, tag, rest = match[1], match[2].lower(), match[3]
@@ -137,8 +227,13 @@ def parse(page: str) -> list[Node]:
             continue
         if tag in OPAQUE:
             if not closing and not rest.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*+>?", re.IGNORECASE).search(page, at)
-                at = end.end() if end else size
+                if tag not in RAW and closed is None:
+                    closed = _closed(page)
+                if tag not in RAW and match.end(2) not in closed:
+                    at = _left_open(page, at)
+                else:
+                    end = _end_tag(tag).search(page, at)
+                    at = end.end() if end else size
             continue
         end_block()
         links = 0
