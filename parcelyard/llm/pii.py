@@ -9,12 +9,15 @@ country codes, shape of addresses, gender and script of given names.
 
 Distinctness is checked over the whole table of values: a surrogate that two values share,
 or that is itself a value of the corpus, is drawn anew with the next attempt's hash until
-none is left. Values and mentions only meet in joins and aggregates; a text is moved only
-if it has entities, and no Python runs on the rows.
+none is left; a form with too few free surrogates is made wider. Values and mentions only
+meet in joins and aggregates; a text is moved only if it has entities, and no Python runs on
+the rows.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,12 +49,17 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _INITIAL = "[A-Z\u0410-\u042f\u0433]"
 _ALL_GIVEN = "|".join(sorted({n for names in GIVEN.values() for n in names}))
 
+# Digits of the shortest international numbers, country code included.
+PHONE_LEAST = 7
+# Written out, as lookbehind takes no repeated group.
+_ENOUGH = r"[ .-]?\(?\d\)?" * PHONE_LEAST
+
 # Patterns by type, in the order in which they are tried at a place.
 PATTERNS = {
     "email": rf"(?<![{_WORD}._%+-])[{_WORD}._%+-]{{1,64}}+@(?:[A-Za-z0-9-]{{1,63}}\.){{1,8}}[A-Za-z]{{2,24}}",
     "iban": rf"(?<![{_WORD}])[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,4}})?(?![{_WORD}])",
     "card": rf"(?<![{_WORD}.+-])(?:\d{{4}}[ -]?\d{{4}}[ -]?\d{{4}}[ -]?\d{{4}}|3[47]\d{{2}}[ -]?\d{{6}}[ -]?\d{{5}})(?![{_WORD}])",
-    "phone": rf"(?<![{_WORD}.+])(?:\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}|\+(?!1[ .(-])\d{{1,3}}(?:[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})){{2,5}}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?![{_WORD}])",
+    "phone": rf"(?<![{_WORD}.+])(?:\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}|\+(?!1[ .(-])\d{{1,3}}(?:[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})){{2,5}}(?<={_ENOUGH})|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?![{_WORD}])",
     "ssn": rf"(?<![{_WORD}-])\d{{3}}-\d{{2}}-\d{{4}}(?![{_WORD}-])",
     "ip": rf"(?<![{_WORD}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![{_WORD}]|\.\d)",
     "person": rf"(?={_INITIAL})(?<!\p{{L}})(?:(?:{'|'.join(TITLES)}) (?:(?:{_ALL_GIVEN}) )?{_CAPITAL}|(?:{_ALL_GIVEN}) {_CAPITAL})(?!\p{{L}})",
@@ -61,7 +69,8 @@ ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 # A text without any of these signs has no entity.
 SIGN = rf"[0-9@]|(?={_INITIAL})(?<!\p{{L}})(?:{'|'.join(TITLES)}|{_ALL_GIVEN}) "
 
-# How often a surrogate is drawn before the form is given up as too small for its values.
+# How often a number's surrogate is drawn in the number's own form; each later draw has one
+# digit more, so that there is room for any number of values.
 ATTEMPTS = 20
 
 
@@ -169,18 +178,20 @@ def _surrogate(kind: Column, value: Column, digest: Column, attempt: int) -> Col
     email = F.concat(
         _redrawn(local, F.reverse(digest), none), F.lit("@"), site, F.lit(".example."), ending
     )
-    octets = [(_drawn(digest, F.lit(i), 254) + 1).cast("string") for i in range(4)]
+    wider = max(0, attempt - ATTEMPTS + 1)
+    octets = [(_drawn(digest, F.lit(i), 254) + 1).cast("string") for i in range(4 + wider)]
+    number = F.concat(value, F.lit("0" * wider))
     chosen = (
         F.when(kind == "email", email)
         .when(kind == "ip", F.concat_ws(".", *octets))
-        .when(kind == "iban", _redrawn(value, digest, F.lit(2)))
-        .when(kind == "card", _redrawn(value, digest, F.lit(1)))
+        .when(kind == "iban", _redrawn(number, digest, F.lit(2)))
+        .when(kind == "card", _redrawn(number, digest, F.lit(1)))
         .when(
             (kind == "phone") & value.startswith("+"),
             # The sign and the country code stay: one digit for zones 1 and 7.
-            _redrawn(value, digest, F.when(value.rlike("^[+][17]"), 2).otherwise(3)),
+            _redrawn(number, digest, F.when(value.rlike("^[+][17]"), 2).otherwise(3)),
         )
-        .otherwise(_redrawn(value, digest, none))
+        .otherwise(_redrawn(number, digest, none))
     )
     for (gender, script), names in GIVEN.items():
         # A list is small; from the second attempt on, names are double ones.
@@ -200,7 +211,7 @@ def surrogates(work: Workspace, values: DataFrame, key: str) -> DataFrame:
     ``values`` has distinct (kind, value). A surrogate is never a value of its kind either.
     """
     taken, rest = None, values
-    for attempt in range(ATTEMPTS):
+    for attempt in count():
         digest = F.sha2(F.concat_ws("|", F.lit(key), "kind", "value", F.lit(str(attempt))), 512)
         made = work.write(
             rest.withColumn("digest", digest).select(
@@ -220,7 +231,6 @@ def surrogates(work: Workspace, values: DataFrame, key: str) -> DataFrame:
         rest = work.write(rest, f"rest-{attempt}")
         if rest.isEmpty():
             return taken
-    raise ValueError("some form has fewer surrogates than values: " + str(rest.first()))
 
 
 def _filled(text: Column, kind: Column, surrogate: Column) -> Column:
@@ -234,6 +244,9 @@ def _filled(text: Column, kind: Column, surrogate: Column) -> Column:
         )
 
     spaced = F.array_join(F.transform(F.split(text, ""), one), "")
+    # What a wider surrogate has beyond the mention.
+    own = F.length(F.regexp_replace(text, separator, ""))
+    spaced = F.concat(spaced, F.substring(surrogate, own + 1, F.length(surrogate)))
     return F.when(kind.isin("phone", "card", "ssn", "iban"), spaced).otherwise(surrogate)
 
 

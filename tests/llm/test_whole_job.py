@@ -1,8 +1,11 @@
 """Whole jobs where a part used to be left out."""
 
+import re
+
 import pytest
 
-from parcelyard.llm import extraction
+from parcelyard.llm import extraction, pii
+from parcelyard.llm.workspace import Workspace
 
 
 def page_texts(page):
@@ -32,3 +35,26 @@ def test_page_goes_on_after_an_element_without_an_end(tag):
     # What has an end is passed over whole.
     assert page_texts(f"<div>one<{tag}><!-- </div> --><div>no</div><p>no</p></{tag}>two</div>") == ["onetwo"]
     assert page_texts(f"<div><{tag}><p>" * 20_000 + "</div>" * 20_000 + "<p>last</p>") == ["last"]
+
+
+def test_surrogates_of_a_full_form(spark, monkeypatch):
+    """More values than their form has surrogates left."""
+    monkeypatch.setattr(pii, "ATTEMPTS", 2)
+    values = [("phone", f"+25{i}") for i in range(10)] + [("phone", f"+10{i}") for i in range(8)]
+    frame = spark.createDataFrame(values, "kind string, value string")
+    made = pii.surrogates(Workspace(spark, "test"), frame, "key").collect()
+    assert sorted((r.kind, r.value) for r in made) == sorted(values)
+    assert len({r.surrogate for r in made} - {v for _, v in values}) == len(values)
+    assert all(re.fullmatch(r"\+25\d{2,4}|\+1\d{2,5}", r.surrogate) for r in made)
+
+
+def test_phone_numbers_have_enough_digits(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ATTEMPTS", 0)
+    texts = [f"a gain of +25{i} points, +1 0 2, +12 34 56" for i in range(10)]
+    texts += ["call +290 1234 or +49 (30) 1234-567."]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r for _, r in sorted((r.doc_id, r) for r in pii.replace_pii(frame).collect())]
+    assert [r.text for r in got[:10]] == texts[:10] and not any(r.n_entities for r in got[:10])
+    # A wider surrogate is written in the format of its mention, with what it has more.
+    assert got[10].kinds == "phone,phone"
+    assert re.fullmatch(r"call \+29\d \d{5} or \+49 \(\d\d\) \d{4}-\d{4}\.", got[10].text), got[10].text
