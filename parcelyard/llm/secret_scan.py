@@ -291,12 +291,13 @@ def trained() -> dict:
 
 
 def all_spans(texts: list[str], weights: dict) -> list[list[tuple[int, int, str]]]:
-    """Spans of the patterns, and of candidates beyond them that the network accepts."""
-    spans = [base_spans(text) for text in texts]
+    """Spans of the patterns, and of candidates not within one that the network accepts."""
+    base = [base_spans(text) for text in texts]
+    spans = [list(found) for found in base]
     windows, owners = [], []
     for row, text in enumerate(texts):
         for start, end in candidates(text):
-            if not any(s < end and start < e for s, e, _ in spans[row]):
+            if not any(s <= start and end <= e for s, e, _ in base[row]):
                 rows = encoded(text, start, end)
                 windows.append(rows)
                 owners += [(row, start, end)] * len(rows)

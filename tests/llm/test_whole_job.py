@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from parcelyard.llm import extraction, pii
+from parcelyard.llm import extraction, pii, secret_scan
 from parcelyard.llm.workspace import Workspace
 
 
@@ -58,3 +58,24 @@ def test_phone_numbers_have_enough_digits(spark, monkeypatch):
     # A wider surrogate is written in the format of its mention, with what it has more.
     assert got[10].kinds == "phone,phone"
     assert re.fullmatch(r"call \+29\d \d{5} or \+49 \(\d\d\) \d{4}-\d{4}\.", got[10].text), got[10].text
+
+
+@pytest.fixture(scope="module")
+def weights():
+    return secret_scan.trained()
+
+
+@pytest.mark.parametrize(
+    "token",
+    [
+        "1234567890123456789-aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0dF3hJ6kLmN",
+        "aB3dE6gH9jK2mN5pQ8sT-0123456789abcdef-vW4yZ7bC0dF3hJ6kLmN",
+    ],
+)
+def test_secret_with_a_digit_run_is_blotted_whole(weights, token):
+    text = f"Authorization: Bearer {token} and so on"
+    spans = secret_scan.all_spans([text], weights)[0]
+    start = text.index(token)
+    assert (start, start + len(token), "model") in spans
+    assert [s for s in spans if s[2] != "model"] == secret_scan.base_spans(text) != []
+    assert secret_scan.blotted(text, spans) == "Authorization: Bearer [SECRET] and so on"
