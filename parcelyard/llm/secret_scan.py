@@ -1,7 +1,8 @@
 """Secrets: fixed patterns, and a character convolutional network over every candidate.
 
-A candidate is a run of token characters of at least ``SHORTEST`` that holds a digit. The
-network reads it with the characters before and after, in windows if it is long, and is
+A candidate is a run of token characters of at least ``SHORTEST`` that holds a digit or mixes
+case or follows a colon or equals sign, or what follows a credential word up to white space
+or its quote, if that is as long. The network reads it with the characters before and after, in windows if it is long, and is
 trained in numpy on labelled findings: strings of known credential formats in the settings
 they turn up in, against identifiers, numbers, dates, checksums and addresses. Its output
 is calibrated on findings kept out of training, and the threshold is the highest at which
@@ -41,8 +42,21 @@ HEX_DIGITS = bytes(120 if c in b"0123456789abcdef" else 32 for c in range(256))
 HEX_SIGN = b"x" * HEX_LEAST
 
 SHORTEST = 12
-TOKEN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
-FROM_DIGIT = re.compile(r"[0-9][A-Za-z0-9+/_=-]*")
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
+# What makes a run a candidate: a digit or a value after an equals sign within it, a capital
+# that is not its first letter beside small ones, or a sign before it.
+KEYLIKE = re.compile(rf"[0-9]|=[A-Za-z+/_-]{{{SHORTEST}}}")
+SMALL, CAPITAL = re.compile("[a-z]"), re.compile("[A-Z]")
+SIGN_BEFORE = re.compile(r"""[:=]["']?\x20?["']?\Z""")
+# A credential word and the value after it; a value that ends in such a word and a sign is none.
+_WORDS = r"""(?:pass(?:word|wd|phrase)|pwd|secret|token|key|credentials?|bearer|auth)["']?"""
+LABEL = re.compile(_WORDS + r"[:=]\Z", re.IGNORECASE)
+CREDENTIAL = re.compile(
+    _WORDS + r"""(?:\x20*[:=]\x20*|\x20+)(?:is\x20+)?"""
+    rf"""(?:"([^\s"]{{{SHORTEST},}})|'([^\s']{{{SHORTEST},}})|([^\s"']\S{{{SHORTEST - 1},}}))""",
+    re.IGNORECASE,
+)
+CREDENTIAL_SIGNS = ("pass", "pwd", "secret", "token", "key", "credential", "bearer", "auth")
 
 BEFORE, INSIDE, AFTER = 24, 48, 8
 LENGTH = BEFORE + INSIDE + AFTER
@@ -72,16 +86,25 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Maximal runs of token characters, long enough and with a digit."""
-    found, past = [], 0
-    for match in FROM_DIGIT.finditer(text):
+    """Maximal runs that look like keys and values after credential words, long enough."""
+    found = set()
+    for match in RUN.finditer(text):
         start, end = match.span()
-        while start > past and text[start - 1] in TOKEN:
-            start -= 1
-        if end - start >= SHORTEST:
-            found.append((start, end))
-        past = end
-    return found
+        if (
+            KEYLIKE.search(match[0])
+            or SMALL.search(match[0]) and CAPITAL.search(match[0], 1)
+            or SIGN_BEFORE.search(text, max(0, start - 4), start)
+        ):
+            found.add((start, end))
+    low = text.lower()
+    if any(sign in low for sign in CREDENTIAL_SIGNS):
+        at = 0
+        while match := CREDENTIAL.search(text, at):
+            start, end = match.span(match.lastindex)
+            at = max(start, end - 24)
+            if not LABEL.search(text, at, end):
+                found.add((start, end))
+    return sorted(found, key=lambda place: (place[0], -place[1]))
 
 
 def encoded(text: str, start: int, end: int) -> np.ndarray:
@@ -225,13 +248,26 @@ def _credential(rng) -> str:
         lambda: "eyJ" + raw(24).rstrip("="),
         lambda: "glpat-" + _draw(rng, _ALL, 20),
         lambda: _draw(rng, _ALL, 20, 44),
+        lambda: _draw(rng, _LETTERS + _LETTERS.upper(), 20, 44),
     )
     return kinds[rng.integers(len(kinds))]()
 
 
+def _password(rng) -> str:
+    """Words, digits and symbols in a row, or all of them at random."""
+    symbols = "#!$%&*?@^~.,;+"
+    if rng.integers(2):
+        return _draw(rng, _ALL + symbols, 14, 24)
+    made = ""
+    while len(made) < 14:
+        made += _word(rng).capitalize() + _draw(rng, _DIGITS, 0, 2) + _draw(rng, symbols, 1)
+    return made + _draw(rng, _DIGITS, 1, 2)
+
+
 def _harmless(rng) -> tuple[str, str, str]:
     """What precedes it, a long string with digits that is no secret, what follows."""
     hexes = _draw(rng, "0123456789abcdef", 32)
+    words = ("password", "secret", "token", "key", "auth", "credentials")
     day = f"20{_draw(rng, _DIGITS, 2)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d}"
     kinds = (
         ("id ", f"{hexes[:8]}-{hexes[8:12]}-{hexes[12:16]}-{hexes[16:20]}-{hexes[20:]}", " "),
@@ -247,36 +283,51 @@ def _harmless(rng) -> tuple[str, str, str]:
         ("call ", f"{_draw(rng, _DIGITS, 3)}-{_draw(rng, _DIGITS, 3)}-{_draw(rng, _DIGITS, 4)}", " "),
         ("isbn ", f"978-{_draw(rng, _DIGITS, 1)}-{_draw(rng, _DIGITS, 4)}-{_draw(rng, _DIGITS, 4)}", " "),
         ("", f"{_word(rng)}-{_word(rng)}-{rng.integers(2100)}-{_word(rng)}", ","),
+        ("", _word(rng) + "".join(_word(rng).capitalize() for _ in range(4)), "("),
+        ("note: ", (_word(rng) + _word(rng) + _word(rng) + _word(rng)).capitalize(), " "),
+        (f"{words[rng.integers(len(words))]} ", f"{_word(rng)}-{_word(rng)}{_word(rng)}-{_word(rng)}", ", "),
+        (f"{words[rng.integers(len(words))]} ", _word(rng) + _word(rng) + _word(rng) + _word(rng), " "),
+        (f"{words[rng.integers(len(words))]} = ", f"{_word(rng)}.{_word(rng)}_{_word(rng)}({_word(rng)})", "\n"),
         ("", "=" * rng.integers(8, 20) + _draw(rng, _DIGITS, 1, 3) + "-" * rng.integers(4, 9), "\n"),
     )
     return kinds[rng.integers(len(kinds))]
 
 
-def labelled_findings(count: int, rng) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of credentials (1) and harmless strings (0), half each, in running text."""
+def findings(rng) -> Iterator[tuple[str, int, int]]:
+    """Running text and the place in it of a harmless string, then of a credential, and so on."""
     # Settings a credential is found in, as they are written.
     settings = (
         'password = "', "token: ", "api_key=", "Authorization: Bearer ", "export SECRET=",
         "AWS_ACCESS_KEY_ID=", "aws_secret_access_key = ", "auth ", "private key ", "credentials: ",
         "client_secret='", "key is ", "login with ", "", "", "passphrase ",
     )
-    rows, marks = [], []
-    while len(rows) < count:
-        mark = len(rows) % 2
-        before, body, after = (
-            (settings[rng.integers(len(settings))], _credential(rng), str(rng.choice(['"', "'", " ", "\n"])))
-            if mark
-            else _harmless(rng)
-        )
+    worded = ('password = "', "password: ", "passwd=", "pwd: ", "passphrase ", "secret='", "DB_PASSWORD=")
+    mark = 0
+    while True:
+        if not mark:
+            before, body, after = _harmless(rng)
+        elif rng.integers(8):
+            before, body = settings[rng.integers(len(settings))], _credential(rng)
+            after = str(rng.choice(['"', "'", " ", "\n"]))
+        else:
+            before, body = worded[rng.integers(len(worded))], _password(rng)
+            after = before[-1] if before[-1] in "\"'" else str(rng.choice([" ", "\n"]))
         lead = " ".join(_word(rng) for _ in range(4)) + " " + before
-        whole = lead + body + after + " ".join(_word(rng) for _ in range(3))
-        found = [
-            (s, e) for s, e in candidates(whole) if s < len(lead) + len(body) and e > len(lead)
-        ]
-        for start, end in found[:1]:
-            rows.append(encoded(whole, start, end)[0])
-            marks.append(mark)
-    return np.array(rows), np.array(marks)
+        yield lead + body + after + " ".join(_word(rng) for _ in range(3)), len(lead), len(lead + body)
+        mark = 1 - mark
+
+
+def labelled_findings(count: int, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of credentials (1) and harmless strings (0), half each, in running text."""
+    rows, marks = [], []
+    for at, (whole, start, end) in enumerate(findings(rng)):
+        mark = at % 2
+        if marks.count(mark) < (count + 1 - mark) // 2:
+            for place in [p for p in candidates(whole) if p[0] < end and p[1] > start][:1]:
+                rows.append(encoded(whole, *place)[0])
+                marks.append(mark)
+        if len(rows) == count:
+            return np.array(rows), np.array(marks)
 
 
 @lru_cache(maxsize=1)
@@ -303,8 +354,13 @@ def all_spans(texts: list[str], weights: dict) -> list[list[tuple[int, int, str]
                 owners += [(row, start, end)] * len(rows)
     if windows:
         likely = probability(weights, np.concatenate(windows)) >= weights["threshold"]
-        for row, start, end in sorted({o for o, yes in zip(owners, likely) if yes}):
-            spans[row].append((start, end, "model"))
+        accepted = {o for o, yes in zip(owners, likely) if yes}
+        whole = (-1, 0)
+        for row, start, end in sorted(accepted, key=lambda o: (o[0], o[1], -o[2])):
+            # A run within an accepted value is no finding of its own.
+            if (row, end) > whole:
+                whole = (row, end)
+                spans[row].append((start, end, "model"))
     return [sorted(found, key=lambda s: (s[0], KINDS.index(s[2]))) for found in spans]
 
 

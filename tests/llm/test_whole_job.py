@@ -1,7 +1,9 @@
 """Whole jobs where a part used to be left out."""
 
 import re
+from itertools import islice
 
+import numpy as np
 import pytest
 
 from parcelyard.llm import extraction, pii, secret_scan
@@ -79,3 +81,38 @@ def test_secret_with_a_digit_run_is_blotted_whole(weights, token):
     assert (start, start + len(token), "model") in spans
     assert [s for s in spans if s[2] != "model"] == secret_scan.base_spans(text) != []
     assert secret_scan.blotted(text, spans) == "Authorization: Bearer [SECRET] and so on"
+
+
+@pytest.mark.parametrize(
+    "before, secret, after",
+    [
+        ("Authorization: Bearer ", "qTzRwLmXvKdPbNhGfSjYcAeU", " x"),
+        ("password: ", "S3cr#t!Pass$word9", " x"),
+        ('the password = "', "S3cr#t!Pass$word9", '", x'),
+        ("secret access_token: ", "S3cr#t!Pass$word9", " x"),
+        ("see ", "qTzRwLmXvKdPbNhGfSjYcAeU", " x"),
+    ],
+)
+def test_secret_without_a_digit_or_with_symbols(weights, before, secret, after):
+    text = before + secret + after
+    assert (len(before), len(before) + len(secret)) in secret_scan.candidates(text)
+    spans = secret_scan.all_spans([text], weights)[0]
+    assert secret_scan.blotted(text, spans) == before + "[SECRET]" + after
+
+
+def test_secret_recall_over_all_that_is_planted(weights):
+    """Findings that give no candidate count too."""
+    made = list(islice(secret_scan.findings(np.random.default_rng(321)), 2000))
+    spans = secret_scan.all_spans([text for text, _, _ in made], weights)
+    hit = [
+        all(any(s <= at < e for s, e, _ in own) for at in range(start, end))
+        for (_, start, end), own in zip(made, spans)
+    ]
+    models = [any(k == "model" for _, _, k in own) for own in spans]
+    assert np.mean(hit[1::2]) > 0.95
+    assert np.mean(models[::2]) < 0.02
+
+
+def test_candidates_of_long_runs_take_no_long_time():
+    for part in ("A", "a", "key=", "key ", "token:", "=", "password  "):
+        secret_scan.candidates(part * 200_000)
