@@ -246,12 +246,12 @@ def parse(page: str) -> list[Node]:
         if tag in BLOCKS_IN_P and nodes[stack[-1]].tag == "p":
             stack.pop()
         if tag in CLOSES:
-            closed, limit = CLOSES[tag]
+            ended, limit = CLOSES[tag]
             for depth in range(len(stack) - 1, 0, -1):
                 above = nodes[stack[depth]].tag
                 if above in limit:
                     break
-                if above in closed:
+                if above in ended:
                     del stack[depth:]
                     break
         names = frozenset(

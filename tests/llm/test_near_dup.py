@@ -1,10 +1,12 @@
-"""Near duplicates against all pairs: stars, blocks, chains and false friends."""
+"""Near duplicates against all pairs: stars, prefixes, chains and false friends."""
 
 import random
 
+import numpy as np
 import pytest
 
 from parcelyard.llm import near_dup
+from parcelyard.llm.workspace import Workspace
 
 
 def shingles(text):
@@ -49,7 +51,6 @@ def corpus():
 @pytest.mark.parametrize("rounds", [near_dup.STAR_ROUNDS, 0])
 def test_like_all_pairs(spark, monkeypatch, rounds):
     monkeypatch.setattr(near_dup, "STAR_ROUNDS", rounds)
-    monkeypatch.setattr(near_dup, "BLOCK_CHUNK", 5)
     monkeypatch.setattr(near_dup, "STAR_CHUNK", 4)
     rows = corpus()
     found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
@@ -63,3 +64,68 @@ def test_minima_estimate_similarity():
     two = near_dup.shingle_set(whole[800:], 1, near_dup.T.WordHashes())
     agree = (near_dup.minima(one) == near_dup.minima(two)).mean()
     assert abs(agree - 0.8) < 0.12
+
+
+def test_parities_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        common, one, two = (rng.integers(0, 2**64, n, np.uint64) for n in rng.integers(0, 900, 3))
+        a, b = (np.unique(np.concatenate([common, own])) for own in (one, two))
+        apart = sum(
+            int(x ^ y).bit_count() for x, y in zip(*(near_dup.parities(s).view(np.uint64) for s in (a, b)))
+        )
+        assert apart <= len(np.setxor1d(a, b))
+
+
+class Counting(Workspace):
+    """A workspace that remembers how many rows each table has."""
+
+    def __init__(self, spark, name):
+        super().__init__(spark, name)
+        self.rows = {}
+
+    def write(self, frame, name):
+        made = super().write(frame, name)
+        self.rows[name] = made.count()
+        return made
+
+
+def shared_but_not_linked(count):
+    """Texts with four fifths in common: they share bands, but no two are links."""
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(160)]
+    return [
+        (i, " ".join(common + [f"u{i}x{k}" for k in range(rng.randrange(17, 24))])) for i in range(count)
+    ]
+
+
+def test_rows_on_a_group_that_shares_bands_grow_with_its_size(spark):
+    rows, got = {}, {}
+    for count in (200, 800):
+        work = Counting(spark, "test-growth")
+        frame = spark.createDataFrame(shared_but_not_linked(count), "doc_id long, text string")
+        got[count] = near_dup.NearDuplicates(work, frame).result().collect()
+        rows[count] = work.rows
+    assert all(r.kept and r.component_id == r.doc_id for r in got[800])
+    assert rows[800]["buckets"] > 800  # they do meet in buckets
+    assert not any(n.startswith("links") and c for n, c in rows[800].items())
+    for name in set(rows[200]) & set(rows[800]):
+        assert rows[800][name] <= 6 * rows[200][name] + 100, (name, rows)
+
+
+def test_a_link_across_a_hot_group_is_found(spark):
+    rows = shared_but_not_linked(120)
+    words = rows[60][1].split()
+    rows.append((1000, " ".join(words[:-1] + ["other"])))
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {tuple(r) for r in found.collect()} == by_all_pairs(rows)
+
+
+def test_repeated_rows_of_two_documents_cost_two_sets(spark):
+    one, two = " ".join(f"w{i}" for i in range(100)), " ".join(f"w{i}" for i in range(98))
+    work = Counting(spark, "test-repeats")
+    frame = spark.createDataFrame([(1, one), (2, two)] * 50, "doc_id long, text string")
+    found = near_dup.NearDuplicates(work, frame).result().collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1)} and len(found) == 100
+    assert work.rows["sets"] <= 2 * spark.sparkContext.defaultParallelism
+    assert work.rows["links-0"] <= 2

@@ -116,3 +116,57 @@ def test_secret_recall_over_all_that_is_planted(weights):
 def test_candidates_of_long_runs_take_no_long_time():
     for part in ("A", "a", "key=", "key ", "token:", "=", "password  "):
         secret_scan.candidates(part * 200_000)
+
+
+OPAQUE_PARTS = ["noscript", "template", "button", "svg", "object", "canvas", "select", "iframe", "style"]
+
+
+def test_nothing_inside_an_opaque_element_is_read_after_any_element():
+    """After each element that ends its like (li, td, dd, ...), closed and unclosed."""
+    for name in OPAQUE_PARTS:
+        for before in (
+            "<ul><li>x</li></ul>",
+            "<ul><li>x",
+            "<table><tr><th>a<td>b</td></tr></table>",
+            "<dl><dt>a<dd>b</dl>",
+            "<select><option>a</select><ul><li>y</ul>",
+            "<p>z",
+        ):
+            inside = "LEAK <p>LEAK</p><ul><li>LEAK</li></ul>" if name not in ("iframe", "style") else "LEAK"
+            body = f"<body>{before}<{name}>{inside}</{name}><p>after</p><ul><li>end</ul></body>"
+            got = page_texts(body)
+            assert not any("LEAK" in b for b in got), (name, before, got)
+            assert got[-2:] == ["after", "end"], (name, before, got)
+
+
+def test_parse_like_a_plain_reading_of_small_pages():
+    """Random well-formed pages: text outside opaque elements, cut at block marks."""
+    import random
+
+    rng = random.Random(12)
+
+    def page(depth):
+        shown, made = [], []
+        for _ in range(rng.randrange(1, 5)):
+            kind = rng.choice(["div", "section", "li", "opaque", "inline", "text"])
+            word = f"w{rng.randrange(1000)}"
+            if kind == "opaque":
+                name = rng.choice(OPAQUE_PARTS[:7])
+                made.append(f"<{name}><p>no {word}</p></{name}>")
+            elif kind == "inline":
+                made.append(f"<b>{word}</b>")
+                shown.append(word)
+            elif kind == "text" or depth > 3:
+                made.append(f" {word} ")
+                shown.append(f" {word} ")
+            else:
+                inner, seen = page(depth + 1)
+                outer = ("<ul><li>", "</li></ul>") if kind == "li" else (f"<{kind}>", f"</{kind}>")
+                made.append(outer[0] + inner + outer[1])
+                shown.append("\n" + seen + "\n")
+        return "".join(made), "".join(shown)
+
+    for _ in range(300):
+        made, shown = page(0)
+        want = [" ".join(line.split()) for line in shown.split("\n") if line.strip()]
+        assert page_texts(f"<body>{made}</body>") == want, made
