@@ -14,7 +14,9 @@ from parcelyard.llm import (
     metric_join,
     mixing,
     near_dup,
+    periodic,
     pii,
+    ranked,
     secret_scan,
     toxicity,
 )
@@ -75,6 +77,16 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, of which every tenth has one written into it."""
+    documents = periodic.with_planted_runs(_table(spark, sf_dir, "documents"))
+    return periodic.report(documents).drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_toxicity": op2_toxicity,
@@ -86,4 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_mix": op9_mix,
     "op10_main_text": op10_main_text,
+    "op11_ranked_search": op11_ranked_search,
+    "op13_periodic_runs": op13_periodic_runs,
 }

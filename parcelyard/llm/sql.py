@@ -1,11 +1,12 @@
 """DuckDB SQL for the queries that SQL can express, written from their contracts.
 
-Not here: what a trained model decides (toxicity, secrets, page text) and keyed surrogates.
+Not here: what a trained model decides (toxicity, secrets, page text, language
+model), keyed surrogates, and periodic runs, which would take a join of words with words.
 """
 
 from __future__ import annotations
 
-from parcelyard.llm import chat, decontaminate, licenses, metric_join, mixing, near_dup
+from parcelyard.llm import chat, decontaminate, licenses, metric_join, mixing, near_dup, ranked
 from parcelyard.llm.text import UPPER
 
 
@@ -268,6 +269,52 @@ def _mix() -> str:
     """
 
 
+def _ranked() -> str:
+    terms = _plain_words("text")
+    return f"""
+    with d as (
+        select row_number() over () as row, doc_id, {terms} as words from documents
+    ),
+    -- All of the collection: documents with a term, and their terms with repeats.
+    whole as (
+        select count(*) filter (len(words) > 0) as n, cast(sum(len(words)) as bigint) as length from d
+    ),
+    counts as (
+        select row, term, count(*) as tf from (select row, unnest(words) as term from d) group by all
+    ),
+    rare as (select term, count(*) as df from counts group by term),
+    weighed as (
+        select term, cast(floor(
+            {ranked.WEIGHT} * ln(cast(2 * n + 2 as double) / cast(2 * df + 1 as double))
+        ) as bigint) as weight
+        from rare, whole
+    ),
+    sizes as (
+        select row, doc_id,
+            {100 - ranked.LENGTH} + ({ranked.LENGTH} * cast(len(words) as bigint) * n) // length as m
+        from d, whole where len(words) > 0
+    ),
+    wanted as (
+        select distinct item_id, term
+        from (select item_id, unnest({terms}) as term from benchmark)
+    ),
+    scored as (
+        select item_id, doc_id, row, cast(sum(
+            weight * (({ranked.PART} * tf) // (1000 * tf + {ranked.SATURATION} * m))
+        ) as bigint) as score
+        from wanted join counts using (term) join weighed using (term) join sizes using (row)
+        group by item_id, doc_id, row
+    ),
+    ordered as (
+        select item_id, doc_id, score, cast(row_number() over (
+            partition by item_id order by score desc, doc_id
+        ) as integer) as rank
+        from scored where score > 0
+    )
+    select item_id, rank, doc_id, score from ordered where rank <= {ranked.TOP}
+    """
+
+
 QUERIES: dict[str, str] = {
     "op1_licenses": _licenses(),
     "op3_near_dup": _near_dup(),
@@ -275,4 +322,5 @@ QUERIES: dict[str, str] = {
     "op7_near_vectors": _near_vectors(),
     "op8_decontaminate": _decontaminate(),
     "op9_mix": _mix(),
+    "op11_ranked_search": _ranked(),
 }

@@ -21,7 +21,7 @@ def duck():
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(sql.QUERIES))
@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, duck, name):
     columns = sorted(frame.columns)
     result = duck.sql(sql.QUERIES[name])
     assert sorted(result.columns) == columns
-    types = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    types = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "int": "INTEGER"}
     assert {c: types[t] for c, t in frame.dtypes} == dict(
         zip(result.columns, map(str, result.types))
     )
