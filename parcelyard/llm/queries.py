@@ -10,6 +10,7 @@ from parcelyard.llm import (
     chat,
     decontaminate,
     extraction,
+    language_model,
     licenses,
     metric_join,
     mixing,
@@ -81,6 +82,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of all documents, of which every tenth has one written into it."""
     documents = periodic.with_planted_runs(_table(spark, sf_dir, "documents"))
@@ -99,5 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix": op9_mix,
     "op10_main_text": op10_main_text,
     "op11_ranked_search": op11_ranked_search,
+    "op12_language_model": op12_language_model,
     "op13_periodic_runs": op13_periodic_runs,
 }
