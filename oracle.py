@@ -506,6 +506,23 @@ QUERIES = {
     "extract_warehouses": f"select {W} from w_raw",
     "extract_orders": f"select {O} from o_raw",
     "extract_shipments": f"select * exclude (ord1, ord2, ord3) replace (nullif(ship_date, '') as ship_date) from s_raw",
+    "source_order": """
+  select cast(o_custkey % 25 as varchar) warehouse_id, count(*) as rows,
+    cast(arg_min(o_orderkey, place) as varchar) first_order,
+    cast(arg_max(o_orderkey, place) as varchar) last_order
+  from (
+    select *, -o_orderkey + 1000000000000 * case
+      when o_orderkey % 8 = 0 then 1 when o_orderkey % 8 = 1 then 2
+      when o_orderkey % 8 < 4 then 3 else 4 end place
+    from orders)
+  group by 1""",
+    "extract_line_breaks": """
+  select cast(o_orderkey as varchar) order_id, cast(o_custkey as varchar) customer_id,
+    case when o_orderkey % 3 = 0 then o_orderpriority || chr(10) || 'second, line' || chr(10) || o_orderkey
+      when o_orderkey % 5 = 0 then 'say "' || o_orderpriority || '"' || chr(10)
+      else o_orderpriority end product_category
+  from orders
+  union all select null, null, o_orderkey || ',a,b,c,d,e,f,g' from orders where o_orderkey % 97 = 0""",
     "reject_malformed": " union all ".join(
         f"""select '{table}' source_table, 'line does not have the table''s fields' reason,
           {key} || '{rest}' unparsed

@@ -22,6 +22,10 @@ from parcelyard.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+CSV_LINE = {
+    "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"
+}
+
 _runs: dict[tuple[str, str], Refresh] = {}
 _extracts: set[str] = set()
 
@@ -31,7 +35,7 @@ def refresh_of(spark: SparkSession, sf_dir: str) -> Refresh:
     if name not in _runs:
         prepare(spark, sf_dir)
         folder = removed_at_exit(spark, f"{shared_folder(spark)}/parcelyard/{uuid.uuid4().hex}")
-        _runs.setdefault(name, Refresh(spark, adapters.raw_tables(spark, sf_dir), folder))
+        _runs.setdefault(name, Refresh(spark, adapters.raw_tables(spark, sf_dir), folder, sf_dir))
     return _runs[name]
 
 
@@ -55,10 +59,7 @@ def extracted(run: Refresh, name: str) -> raw.RawTable:
     table, path = C.TABLES[name], f"{run.folder}/{name}.csv"
     key = F.col(table.key)
     number = F.when(key.rlike("^[0-9]+$"), key.cast("bigint"))
-    line = F.to_csv(
-        F.struct(*table.source_columns),
-        {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
-    )
+    line = F.to_csv(F.struct(*table.source_columns), CSV_LINE)
     if path not in _extracts:
         lines = F.array(
             line, F.when(number % 89 == 0, _half(key)), F.when(number % 97 == 0, _surplus(key))
@@ -79,6 +80,74 @@ def reject_malformed(run: Refresh) -> DataFrame:
     )
 
 
+def _order_lines(run: Refresh, note: Column) -> DataFrame:
+    """All orders of the source as CSV lines of the orders table, with ``note`` as category."""
+    orders = run.spark.read.parquet(f"{run.source}/orders.parquet")
+    values = [
+        F.col("o_orderkey").cast("string"),
+        (F.col("o_custkey") % 25).cast("string"),
+        F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.col("o_custkey").cast("string"),
+        F.lit("1"),
+        note,
+    ]
+    columns = [v.alias(c) for v, c in zip(values, C.ORDERS.source_columns)]
+    line = F.to_csv(F.struct(*columns), CSV_LINE)
+    return orders.select("o_orderkey", line.alias("line"))
+
+
+def source_order(run: Refresh) -> DataFrame:
+    """First and last order of each site as the source has them: four folders of unequal size.
+
+    The folders hold an eighth, another, a quarter and half of the orders, dealt by key; in
+    each the files, and the lines in each file, go by descending key.
+    """
+    folders = [f"{run.folder}/orders_{letter}.csv" for letter in "dacb"]
+    if folders[0] not in _extracts:
+        lines = _order_lines(run, F.col("o_orderpriority"))
+        share = F.col("o_orderkey") % 8
+        shares = [share == 0, share == 1, share.isin(2, 3), share > 3]
+        for path, mine in zip(sorted(folders), shares):
+            order = F.desc("o_orderkey")
+            sorted_lines = lines.where(mine).repartitionByRange(3, order).sortWithinPartitions(order)
+            sorted_lines.select("line").write.mode("overwrite").text(path)
+        _extracts.add(folders[0])
+    table = raw.read_csv(run.spark, folders, C.ORDERS, header=C.ORDERS.source_columns)
+    place = F.struct(*table.order_by)
+    return table.frame.groupBy("warehouse_id").agg(
+        F.count("*").alias("rows"),
+        F.min_by("order_id", place).alias("first_order"),
+        F.max_by("order_id", place).alias("last_order"),
+    )
+
+
+def extract_line_breaks(run: Refresh) -> DataFrame:
+    """Orders whose category holds line breaks, quotes and commas, back from splittable files.
+
+    Every 97th key adds a line with too many fields.
+    """
+    path = f"{run.folder}/orders_with_breaks.csv"
+    if path not in _extracts:
+        key, priority = F.col("o_orderkey"), F.col("o_orderpriority")
+        note = (
+            F.when(key % 3 == 0, F.concat(priority, F.lit("\nsecond, line\n"), key.cast("string")))
+            .when(key % 5 == 0, F.concat(F.lit('say "'), priority, F.lit('"\n')))
+            .otherwise(priority)
+        )
+        lines = F.array("line", F.when(key % 97 == 0, _surplus(key.cast("string"))))
+        made = _order_lines(run, note).select(F.explode(F.array_compact(lines)).alias("line"))
+        made.repartition(4, "line").write.mode("overwrite").text(path)
+        _extracts.add(path)
+    table = raw.read_csv(run.spark, path, C.ORDERS, header=C.ORDERS.source_columns)
+    return table.frame.select("order_id", "customer_id", "product_category").unionByName(
+        table.malformed.select(
+            F.lit(None).cast("string").alias("order_id"),
+            F.lit(None).cast("string").alias("customer_id"),
+            F.col("line").alias("product_category"),
+        )
+    )
+
+
 def _cleaned(
     run: Refresh, name: str, wanted: Callable[[C.Field], bool], fill: bool = False
 ) -> DataFrame:
@@ -314,6 +383,8 @@ def _judged_tables(run: Refresh) -> dict[str, DataFrame]:
 QUERIES: dict[str, Callable[[Refresh], DataFrame]] = {
     **{f"extract_{name}": extract(name) for name in C.TABLES},
     "reject_malformed": reject_malformed,
+    "source_order": source_order,
+    "extract_line_breaks": extract_line_breaks,
     "clean_dates": clean_dates,
     "clean_text": clean_text,
     "clean_carrier": clean_carrier,

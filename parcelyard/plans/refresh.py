@@ -33,8 +33,11 @@ log = logging.getLogger(__name__)
 class Refresh:
     """One run over a set of raw tables. Each stage is written when first asked for."""
 
-    def __init__(self, spark: SparkSession, raw: Mapping[str, RawTable], folder: str):
+    def __init__(
+        self, spark: SparkSession, raw: Mapping[str, RawTable], folder: str, source: str = ""
+    ):
         self.spark = spark
+        self.source = source  # where the raw tables come from
         self.raw = raw
         self.folder = folder
         self.staging = f"{folder}/staging"

@@ -108,8 +108,9 @@ def test_lines_that_are_no_rows_are_refused_with_their_text(spark, tmp_path):
     ]
     raw = folder(tmp_path / "raw", HEADER + ORDERS[0] + "".join(bad) + "\n" + "17,1,2025-05-11,5,2,\n")
     run = Refresh(spark, read_csv_tables(spark, raw), str(tmp_path / "work"))
-    assert ids(run.loaded("orders"), "order_id") == [10, 17]
-    lines = "".join(bad).splitlines()
+    assert ids(run.loaded("orders"), "order_id") == [10, 15, 17]
+    assert run.loaded("orders").where("order_id = 15").first().product_category == "ti les"
+    lines = "".join(bad[:2] + bad[3:]).splitlines()
     refused = run.rejects().where("source_table = 'orders'").collect()
     assert sorted(r.unparsed for r in refused) == sorted(lines)
     assert {r.reason for r in refused} == {C.MALFORMED_LINE}
@@ -124,3 +125,100 @@ def test_header_of_every_file_is_skipped(spark, tmp_path):
     table = read_csv(spark, f"{raw}/orders.csv", C.ORDERS)
     assert [r.customer_id for r in table.frame.orderBy(*table.order_by).collect()] == ["640", "641"]
     assert table.malformed.count() == 0
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def spread(rng, count):
+    """Lines of a file with values over several lines, quotes in odd places, and what to get."""
+    lines, rows, bad = [], [], []
+    for i in range(count):
+        kind = rng.choice(["plain", "plain", "quoted", "breaks", "breaks", "inner", "open"])
+        value = {
+            "plain": "tiles",
+            "quoted": 'a, "b"',
+            "breaks": "x\n" * rng.randrange(1, 6) + rng.choice(['"', ",", "\n", 'y",z', ""]),
+            "inner": '5" pipe',
+            "open": "never",
+        }[kind]
+        head = f"{i},1,2025-05-11,{i},2,"
+        if kind == "open":
+            lines.append(f'{head}"{value}')
+            bad.append(lines[-1])
+        elif kind in ("plain", "inner"):
+            lines.append(head + value)
+            if kind == "inner":
+                bad.append(lines[-1])
+        else:
+            lines.append(head + '"' + value.replace('"', '""') + '"')
+        if kind in ("plain", "quoted", "breaks"):
+            rows.append((str(i), value))
+    return lines, rows, bad
+
+
+@pytest.mark.parametrize("block", [40, 300, 100_000])
+def test_line_breaks_inside_quotes_in_split_files(spark, tmp_path, block):
+    """Without lines that never close a quotation every record is read, whatever the blocks."""
+    import random
+
+    rng = random.Random(block)
+    raw = tmp_path / "orders.csv"
+    raw.mkdir()
+    want = []
+    for name in ("b.csv", "a.csv"):
+        lines, rows, bad = spread(rng, 120)
+        keep = [line for line in lines if '"never' not in line]
+        (raw / name).write_text(HEADER + "\n".join(keep) + "\n")
+        want += rows if name == "b.csv" else []
+        want = rows + want if name == "a.csv" else want
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        table = read_csv(spark, str(raw), C.ORDERS)
+        if block < 1000:
+            assert spark.read.text(str(raw)).rdd.getNumPartitions() > 20
+        got = [
+            (r.order_id, r.product_category)
+            for r in table.frame.orderBy(*table.order_by).collect()
+        ]
+        bad = {r.line for r in table.malformed.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == [(i, v) for i, v in want]
+    assert bad and all('5" pipe' in line for line in bad)
+
+
+def test_an_open_quotation_spoils_its_own_line_alone(spark, tmp_path):
+    good = "\n".join(f"{i},1,2025-05-11,5,2,tiles" for i in range(30))
+    text = HEADER + f'90,1,2025-05-11,5,2,"open\n{good}\n91,1,2025-05-11,5,2,"a\nb"\n92,1,2025-05-11,5,2,x\n'
+    path = tmp_path / "orders.csv"
+    path.write_text(text)
+    for longest in (5, 1000):
+        table = read_csv(spark, str(path), C.ORDERS, longest=longest)
+        ids_read = {r.order_id for r in table.frame.collect()}
+        assert ids_read >= {str(i) for i in range(30)} | {"92"}
+        lines = {r.line for r in table.malformed.collect()}
+        assert '90,1,2025-05-11,5,2,"open' in lines
+        assert len(ids_read) + len(lines) >= 32
+
+
+def test_file_numbers_come_without_a_shuffle(spark, tmp_path, monkeypatch):
+    raw = folder(tmp_path / "raw", {f"f {i}.csv": HEADER + ORDERS[0] * (i + 1) for i in range(6)})
+    table = read_csv(spark, f"{raw}/orders.csv", C.ORDERS)
+    plan = plan_of(table.frame)
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    file_numbers = lambda t: [int(r[-1]) // 10**24 for r in t.frame.orderBy(*t.order_by).collect()]
+    one = file_numbers(table)
+    from parcelyard.sources import raw as module
+
+    monkeypatch.setattr(module, "MAP_BYTES", 200)
+    several = read_csv(spark, f"{raw}/orders.csv", C.ORDERS)
+    plan = plan_of(several.frame)
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") > 1
+    assert file_numbers(several) == one == sorted(one) and len(one) == 21
