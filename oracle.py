@@ -264,19 +264,27 @@ refused as (
   union all select 'shipments', shipment_id, 'order_id not found in orders',
     detail, unparsed from s_orphan),
 
+order_deliveries as (
+  select order_id, count(*) shipped, count(on_time) arrived, sum(on_time) punctual
+  from s_loaded group by order_id),
+site_deliveries as (
+  select warehouse_id, sum(shipped) shipped, sum(arrived) arrived, sum(punctual) punctual
+  from order_deliveries join o_loaded using (order_id) group by warehouse_id),
 on_time_by_warehouse as (
-  select w.name warehouse, w.region, count(s.shipment_id) shipments, count(s.on_time) delivered,
-    count(s.shipment_id) - count(s.on_time) in_transit,
-    {_pct('sum(s.on_time)', 'count(s.on_time)')} on_time_pct
-  from w_loaded w left join o_loaded o on o.warehouse_id = w.warehouse_id
-  left join s_loaded s on s.order_id = o.order_id
-  group by w.warehouse_id, w.name, w.region),
+  select name warehouse, region, cast(coalesce(shipped, 0) as bigint) shipments,
+    cast(coalesce(arrived, 0) as bigint) delivered,
+    cast(coalesce(shipped - arrived, 0) as bigint) in_transit,
+    {_pct('punctual', 'arrived')} on_time_pct
+  from w_loaded left join site_deliveries using (warehouse_id)),
+month_orders as (
+  select strftime(order_date, '%Y-%m') as month, quantity, coalesce(shipped, 1) lines,
+    coalesce(arrived, 0) arrived, coalesce(punctual, 0) punctual
+  from o_loaded left join order_deliveries using (order_id)),
 monthly_trend as (
-  select strftime(o.order_date, '%Y-%m') as month, count(*) orders,
-    cast(sum(o.quantity) as bigint) units, count(s.on_time) delivered,
-    count(o.order_id) - count(s.on_time) in_transit,
-    {_pct('sum(s.on_time)', 'count(s.on_time)')} on_time_pct
-  from o_loaded o left join s_loaded s on s.order_id = o.order_id group by 1),
+  select month, cast(sum(lines) as bigint) orders, cast(sum(quantity * lines) as bigint) units,
+    cast(sum(arrived) as bigint) delivered, cast(sum(lines) - sum(arrived) as bigint) in_transit,
+    {_pct('sum(punctual)', 'sum(arrived)')} on_time_pct
+  from month_orders group by month),
 delay_reason_frequency as (
   select delay_reason, count(*) shipments,
     {_pct('count(*)', '(select count(*) from s_loaded where days_late > 0)')} share_pct,
@@ -576,20 +584,20 @@ QUERIES = {
         group by 1)
       order by spelling limit 5""",
     "mess_profile": f"""
-      select 'duplicate_orders' mess,
+      select 'order_rows_folded' mess,
         (select count(*) from o_raw) - (select count(*) from o_dist) as rows
-      union all select 'missing_category', count(*) from o_parsed where product_category is null
-      union all select 'missing_customer', count(*) from o_parsed
+      union all select 'category_blank', count(*) from o_parsed where product_category is null
+      union all select 'customer_blank', count(*) from o_parsed
         where coalesce(trim(raw_customer), '') = ''
-      union all select 'odd_date_orders', count(*) from o_parsed where {_odd('raw_date', 'order_date')}
-      union all select 'missing_carrier', count(*) from s_parsed where carrier is null
-      union all select 'missing_delay_reason', count(*) from s_parsed
+      union all select 'orders_not_iso', count(*) from o_parsed where {_odd('raw_date', 'order_date')}
+      union all select 'carrier_blank', count(*) from s_parsed where carrier is null
+      union all select 'late_without_reason', count(*) from s_parsed
         where actual_delivery_date > expected_delivery_date and delay_reason is null
-      union all select 'odd_date_shipments', count(*) from s_parsed
+      union all select 'shipments_not_iso', count(*) from s_parsed
         where {_odd('raw_ship', 'ship_date')} or {_odd('raw_expected', 'expected_delivery_date')}
           or {_odd('raw_actual', 'actual_delivery_date')}
-      union all select 'sloppy_carrier', count(*) from s_parsed where raw_carrier <> carrier
-      union all select 'sloppy_region', count(*) from w_typed where raw_region <> region""",
+      union all select 'carrier_respelled', count(*) from s_parsed where raw_carrier <> carrier
+      union all select 'region_respelled', count(*) from w_typed where raw_region <> region""",
     "reject_numeric": _refused(_BAD),
     "reject_pk": _refused(_CONFLICT),
     "reject_required_date": _refused(_DATE),

@@ -14,15 +14,6 @@ class RestrictedDelete(RuntimeError):
     """A parent that still has children may not be deleted."""
 
 
-def orphan_keys(child: DataFrame, column: str, parent: DataFrame) -> DataFrame:
-    """Key values without a parent and how many children name each.
-
-    Both sides are folded to one row per key before they meet, so a hot key costs one row.
-    """
-    named = child.groupBy(column).agg(F.count(F.lit(1)).alias("children"))
-    return named.join(parent.select(column).distinct(), column, "left_anti")
-
-
 def children_of(doomed: DataFrame, column: str, child: DataFrame) -> DataFrame:
     """The parents to delete that still have children, with the number of children."""
     held = child.groupBy(column).agg(F.count(F.lit(1)).alias("children"))

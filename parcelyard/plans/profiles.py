@@ -90,22 +90,22 @@ def mess_profile(raw: Mapping[str, DataFrame], distinct_orders: DataFrame) -> Da
     }
     counted = [
         distinct_orders.agg(
-            F.coalesce(F.sum(F.col(dedup.COPIES) - 1), F.lit(0)).alias("duplicate_orders")
+            F.coalesce(F.sum(F.col(dedup.COPIES) - 1), F.lit(0)).alias("order_rows_folded")
         ),
         _with_styles(C.ORDERS, raw["orders"]).agg(
-            F.count_if(_blank("product_category")).alias("missing_category"),
-            F.count_if(_blank("customer_id")).alias("missing_customer"),
-            F.count_if(_odd_date(C.ORDERS)).alias("odd_date_orders"),
+            F.count_if(_blank("product_category")).alias("category_blank"),
+            F.count_if(_blank("customer_id")).alias("customer_blank"),
+            F.count_if(_odd_date(C.ORDERS)).alias("orders_not_iso"),
         ),
         _with_styles(C.SHIPMENTS, raw["shipments"], F.col("carrier").alias("raw_carrier")).agg(
-            F.count_if(_blank("carrier")).alias("missing_carrier"),
-            F.count_if(late & _blank("delay_reason")).alias("missing_delay_reason"),
-            F.count_if(_odd_date(C.SHIPMENTS)).alias("odd_date_shipments"),
-            F.count_if(sloppy["carrier"]).alias("sloppy_carrier"),
+            F.count_if(_blank("carrier")).alias("carrier_blank"),
+            F.count_if(late & _blank("delay_reason")).alias("late_without_reason"),
+            F.count_if(_odd_date(C.SHIPMENTS)).alias("shipments_not_iso"),
+            F.count_if(sloppy["carrier"]).alias("carrier_respelled"),
         ),
         clean.values(
             C.WAREHOUSES, raw["warehouses"], F.col("region").alias("raw_region")
-        ).agg(F.count_if(sloppy["region"]).alias("sloppy_region")),
+        ).agg(F.count_if(sloppy["region"]).alias("region_respelled")),
     ]
     return reduce(DataFrame.unionByName, [_as_lines(one, "mess") for one in counted])
 
