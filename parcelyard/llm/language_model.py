@@ -51,8 +51,9 @@ CONTEXT, WIDTH = 2, 32
 
 ROUNDS, NOISE, BATCH, STEP = 3, 24, 4096, 0.02
 
-# Words with a broadcast count, and the bytes that such a word may have.
-KNOWN, LONGEST = 100_000, 64
+# Words with a broadcast count, the bytes that such a word may have, and grades of counts
+# to a doubling.
+KNOWN, LONGEST, GRADES = 100_000, 64, 32
 
 # Tokens learned from at a time; words a task counts before it hands them on; models averaged apart.
 STRIDE, HELD, GROUPS = 1 << 16, 200_000, 16
@@ -329,12 +330,7 @@ class LanguageModel:
             .agg(F.sum("count").alias("count")),
             "counts",
         )
-        frequent = (
-            self.counts.where((F.length("word") <= LONGEST) & (F.length("word") > 0))
-            .orderBy(F.desc("count"), "word")
-            .limit(KNOWN)
-            .collect()
-        )
+        frequent = self._frequent()
         sums = self.counts.groupBy("shape").agg(F.sum("count").alias("n"), F.count("*").alias("v"))
         # Tokens and distinct words of each class; own words leave their shapes.
         self.tokens, self.kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
@@ -352,6 +348,25 @@ class LanguageModel:
         self.own += [b" %d" % i for i in range(OWN - len(self.own))]
         self.model = self._trained(training)
 
+    def _frequent(self) -> list:
+        """The most frequent words with their counts, ``KNOWN`` at most.
+
+        A grade of counts comes whole or not at all, so that the words are chosen by sums
+        and no task sorts or sends more than it has of them.
+        """
+        able = self.counts.where((F.length("word") <= LONGEST) & (F.length("word") > 0))
+        able = able.withColumn("grade", F.floor(F.log2("count") * GRADES))
+        lowest, size = None, 0
+        for row in sorted(able.groupBy("grade").count().collect(), reverse=True):
+            size += row["count"]
+            if size > KNOWN:
+                break
+            lowest = row["grade"]
+        if lowest is None:
+            return []
+        found = able.where(F.col("grade") >= lowest).drop("grade").collect()
+        return sorted(found, key=lambda row: (-row["count"], row["word"]))
+
     def _trained(self, training: DataFrame) -> dict:
         model = initial(self.tokens)
         numbered = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(ROUNDS))

@@ -26,7 +26,7 @@ from parcelyard.llm.components import components
 from parcelyard.llm.workspace import Workspace
 
 COSINE = 0.98
-CHUNK, MOST_PIVOTS = 4096, 32
+CHUNK = 4096
 
 # Left vectors compared at a time, and room for rounding when a vector is copied.
 SLAB, SLACK = 256, 1e-9
@@ -118,11 +118,20 @@ def _parts(count: Column) -> Column:
     return F.ceil(count / CHUNK).cast("int")
 
 
+def _cell_count(count: Column) -> Column:
+    """Pivots of a label with so many vectors: cells of ``CHUNK`` or so, at most the root.
+
+    Each vector is held against every pivot, so beyond ``CHUNK`` squared vectors cells grow as
+    the root does, which keeps both steps at the power 1.5.
+    """
+    return F.least(_parts(count), F.ceil(F.sqrt(count)).cast("int"))
+
+
 def _cells(work: Workspace, classes: DataFrame, reach: float) -> DataFrame:
     """Classes in the cells they belong to or are near."""
     sized = classes.groupBy(*CELL).agg(F.count("*").alias("count"))
     sized = sized.select(
-        *CELL, "count", F.least(_parts(F.col("count")), F.lit(MOST_PIVOTS)).alias("cells")
+        *CELL, "count", _cell_count(F.col("count")).alias("cells")
     )
     parted = classes.join(sized, CELL)
     # About four times as many as needed, evenly drawn; then the first of these.

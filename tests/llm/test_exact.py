@@ -172,3 +172,76 @@ def test_mix_comes_near_targets(spark):
     weight = dict(zip(order, (5, 2, 1, 5, 2, 1)))
     free = {s: t[1] / weight[s] for s, t in totals.items() if t[1] < 3 * t[2] - 1e-6}
     assert max(free.values()) - min(free.values()) < 1e-6
+
+
+def test_schedule_gives_out_the_mix_and_every_stretch_is_near_the_shares(spark):
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randrange(20, 60), f"small{i}") for i in range(1000)]
+    rows += [(2000 + i, "w " * 400, f"large{i % 3}") for i in range(150)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    made = mixing.Mix(frame, block=32)
+    pieces = sorted(made.schedule().collect(), key=lambda p: (p.slot, p.turn, p.row))
+    taken = {r.doc_id: r for r in made.taken().collect()}
+    given = {}
+    for piece in pieces:
+        assert 0 <= piece.first_word < piece.end_word <= taken[piece.doc_id]["size"]
+        given[piece.doc_id] = given.get(piece.doc_id, 0) + piece.end_word - piece.first_word
+    assert given == {i: r.taken for i, r in taken.items() if r.taken}
+    # Whole pieces of one turn do not overlap.
+    spans = {}
+    for piece in pieces:
+        spans.setdefault((piece.doc_id, piece.turn), []).append((piece.first_word, piece.end_word))
+    for held in spans.values():
+        held.sort()
+        assert all(a[1] <= b[0] for a, b in zip(held, held[1:]))
+    total = sum(given.values())
+    small = sum(n for i, n in given.items() if i < 2000) / total
+    parts, at = [[0, 0] for _ in range(10)], 0
+    for piece in pieces:
+        size = piece.end_word - piece.first_word
+        part = parts[min(9, at * 10 // total)]
+        part[0] += size * (piece.doc_id < 2000)
+        part[1] += size
+        at += size
+    assert all(abs(part[0] / part[1] - small) < 0.12 for part in parts), (small, parts)
+
+
+def test_a_third_of_the_rows_without_doc_id_is_spread_over_ranges(spark):
+    rows = [(None if i % 3 == 0 else i, "w " * 5, "a") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    made = mixing.Mix(frame.repartition(4))
+    ranges = spark.read.parquet(f"{made.work.folder}/rows-ranges")
+    parts = ranges.groupBy("_part").count().collect()
+    assert max(r["count"] for r in parts) < 0.5 * 3000
+    assert sum(r.taken for r in made.taken().collect()) == 15_000
+
+
+def test_cells_stay_small_as_vectors_grow(spark, monkeypatch):
+    """No more than a root's share of the vectors in a cell, few copies of each."""
+    monkeypatch.setattr(metric_join, "CHUNK", 32)
+    rng = np.random.default_rng(3)
+    copies, largest = {}, {}
+    for count in (1000, 4000, 16000):
+        points = rng.normal(size=(count, 8))
+        points /= np.linalg.norm(points, axis=1, keepdims=True)
+        classes = spark.createDataFrame(
+            [(i, p.tolist(), 1, 8, 1) for i, p in enumerate(points)],
+            "id long, vector array<double>, label long, size int, weight long",
+        )
+        work = Workspace(spark, "test-cells")
+        reach = float(np.sqrt(2 - 2 * 0.9995))
+        cells = metric_join._cells(work, work.write(classes, "classes"), reach)
+        copies[count] = cells.count() / count
+        largest[count] = cells.groupBy("cell").count().agg(F.max("count")).first()[0]
+    assert copies[16000] < 2 * copies[1000], copies
+    assert largest[16000] < 16 * largest[1000] / 2, largest
+
+
+def test_one_labelled_id_brings_one_text(spark):
+    from parcelyard.llm import toxicity
+
+    rows = [(1, f"bad words {i}") for i in range(500)] + [(2, "fine"), (3, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    got = toxicity.labelled(documents, labels).collect()
+    assert len(got) <= 2 and all(r.text in ("bad words 0", "fine") for r in got)
