@@ -266,6 +266,9 @@ class NearDuplicates:
         likely = self.work.write(
             both.mapInArrow(_agreeing, "centre long, member long"), f"likely-{turn}"
         )
+        # Few sets are still wanted in a late round; only these are shuffled.
+        ids = likely.select(F.col("centre").alias("id")).union(likely.select("member")).distinct()
+        sets = sets.join(self.work.write(ids, f"wanted-{turn}"), "id", "left_semi")
         parts = likely.groupBy("centre").agg(F.ceil(F.count("*") / STAR_CHUNK).cast("int").alias("parts"))
         centres = parts.join(sets, F.col("centre") == F.col("id")).select(
             "centre",
