@@ -607,6 +607,12 @@ QUERIES = {
     "reject_orphan_order": _refused("warehouse_id not found in warehouses"),
     "reject_orphan_shipment": _refused("order_id not found in orders"),
     "rejects_all": _REJECTS,
+    "rejects_csv_roundtrip": f"""
+  select * replace (
+    case length(detail) % 4
+      when 0 then 'say "' || detail || '",' || chr(10) || '\\n' || chr(13) || ' next '
+      when 1 then ' ' when 2 then '' end as unparsed)
+  from ({_REJECTS})""",
     "rejects_summary": "select source_table, reason, count(*) as rows from refused group by 1, 2",
     "stage_counts": " union all ".join(
         [

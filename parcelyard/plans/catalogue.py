@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 from parcelyard import contract as C
 from parcelyard.operators import clean, dedup, gate, keys, refuse
 from parcelyard.plans import profiles, reports
-from parcelyard.plans.refresh import Refresh, loaded_part, publish, row_counts
+from parcelyard.plans.refresh import (
+    Refresh,
+    loaded_part,
+    publish,
+    read_rejects_csv,
+    row_counts,
+    write_rejects_csv,
+)
 from parcelyard.session import prepare, removed_at_exit, shared_folder
 from parcelyard.sources import adapters, raw
 from parcelyard.sources.store import Store
@@ -247,6 +254,22 @@ def _refused_for(*reasons: str) -> Callable[[Refresh], DataFrame]:
     return query
 
 
+def rejects_csv_roundtrip(run: Refresh) -> DataFrame:
+    """The rejects, with hard texts among their unread ones, written as CSV and read back."""
+    kind = F.length(refuse.DETAIL) % 4
+    hard = (
+        F.when(kind == 0, F.concat(F.lit('say "'), refuse.DETAIL, F.lit('",\n\\n\r next ')))
+        .when(kind == 1, F.lit(" "))
+        .when(kind == 2, F.lit(""))
+    )
+    path = f"{run.folder}/rejects.csv"
+    rejects = run.rejects().withColumn(clean.UNPARSED, hard)
+    if path not in _extracts:
+        write_rejects_csv(rejects, path)
+        _extracts.add(path)
+    return read_rejects_csv(run.spark, path, rejects.schema)
+
+
 def derive_delivery(run: Refresh) -> DataFrame:
     """Derived columns of every shipment that passed its own rules, orphans included."""
     return profiles.validated(run.judged("shipments")).select(
@@ -403,6 +426,7 @@ QUERIES: dict[str, Callable[[Refresh], DataFrame]] = {
     "reject_orphan_order": _refused_for(C.ORPHAN_ORDER),
     "reject_orphan_shipment": _refused_for(C.ORPHAN_SHIPMENT),
     "rejects_all": lambda run: run.rejects(),
+    "rejects_csv_roundtrip": rejects_csv_roundtrip,
     "rejects_summary": lambda run: refuse.rejects_summary(run.rejects()),
     "stage_counts": lambda run: profiles.stage_counts(_judged_tables(run)),
     "derive_delivery": derive_delivery,

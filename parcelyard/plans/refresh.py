@@ -19,6 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parcelyard.contract import TABLES
 from parcelyard.operators import dedup, gate, refuse
@@ -220,6 +221,50 @@ class Snapshot:
         return self.spark.read.parquet(f"{self.info.folder}/rejects")
 
 
+# How a character that would end a line is written in the rejects' CSV, the escape first.
+ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0"))
+EMPTY = "\\e"  # an empty text, to tell it from a null
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def _texts(frame: DataFrame) -> list[str]:
+    return [name for name, kind in frame.dtypes if kind == "string"]
+
+
 def write_rejects_csv(rejects: DataFrame, path: str) -> None:
-    """The rejects as CSV with a header, rewritten every time, written even when empty."""
-    rejects.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """The rejects as CSV with a header, rewritten every time, written even when empty.
+
+    Every record is one line: line breaks in texts are written as \\n and \\r, a backslash as
+    two. A null is nothing at all, an empty text ``EMPTY``. So files can be split, and
+    ``read_rejects_csv`` gives back the same rows.
+    """
+    escaped = {}
+    for name in _texts(rejects):
+        value = F.col(name)
+        for plain, written in ESCAPES:
+            value = F.replace(value, F.lit(plain), F.lit(written))
+        escaped[name] = F.when(F.col(name) == "", F.lit(EMPTY)).otherwise(value)
+    rejects.withColumns(escaped).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def read_rejects_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rejects that ``write_rejects_csv`` wrote, with their types."""
+    frame = spark.read.schema(schema).options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+    plain = {}
+    for name in _texts(frame):
+        # Pairs of backslashes stand aside while the other escapes are undone; a text as
+        # written holds no NUL.
+        value = F.replace(F.col(name), F.lit(ESCAPES[0][1]), F.lit("\0"))
+        for character, written in ESCAPES[1:3]:
+            value = F.replace(value, F.lit(written), F.lit(character))
+        parts = F.transform(
+            F.split(value, "\0"), lambda part: F.replace(part, F.lit(ESCAPES[3][1]), F.lit("\0"))
+        )
+        text = F.array_join(parts, ESCAPES[0][0])
+        plain[name] = F.when(F.col(name) == EMPTY, F.lit("")).otherwise(text)
+    return frame.withColumns(plain)

@@ -138,3 +138,21 @@ def test_snapshot_is_consistent_for_a_reader(spark, tmp_path):
     assert ids(old, "order_id") == [300]
     assert ids(Snapshot(spark, root).table("orders"), "order_id") == [333]
     assert old.where(F.col("order_id") == 300).count() == 1
+
+
+def test_rejects_come_back_from_csv(spark, tmp_path):
+    from parcelyard.plans.refresh import read_rejects_csv, write_rejects_csv
+
+    hard = ["", None, " ", "\\", "\\n", "\\\\n", "a\nb", "\r\n", 'say "x", y', "\\0", "\0", " \\\\0\0\\", "é\n\n"]
+    frame = spark.createDataFrame(
+        [(i, t, None) for i, t in enumerate(hard)], "id long, detail string, day date"
+    )
+    path = str(tmp_path / "rejects")
+    write_rejects_csv(frame.coalesce(1), path)
+    lines = [line for part in (tmp_path / "rejects").glob("*.csv") for line in part.read_bytes().split(b"\n")]
+    assert len(lines) == len(hard) + 2  # a header, and the end of the last line
+    back = read_rejects_csv(spark, path, frame.schema)
+    assert back.dtypes == frame.dtypes
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, frame.collect()))
+    write_rejects_csv(frame.limit(0), path)
+    assert read_rejects_csv(spark, path, frame.schema).count() == 0
