@@ -183,7 +183,12 @@ def items_digest(items: list[str]) -> str:
 
 
 def report(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """Contamination of every document, one row each."""
+    """Contamination of every row of ``documents``, one row each.
+
+    Null and empty texts have no words and are not contaminated; items without words are
+    passed over, and a null item_id counts as an empty one. Repeated rows are each reported;
+    other columns are ignored. Without documents the result is empty, without items clean.
+    """
     found = scan(documents.select("doc_id", "text"), items, keep=["doc_id"])
     runs = F.col("decontamination.runs")
     hit = F.aggregate(
@@ -201,5 +206,9 @@ def report(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents in which no window of an item occurs."""
+    """The rows of ``documents`` in which no window of an item occurs, as they were.
+
+    Null and empty texts stay, repeated rows each by itself; all columns stay, whatever
+    their names. Without items every row stays; an empty table gives an empty result.
+    """
     return scan(documents, items, only_clean=True)
