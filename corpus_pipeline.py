@@ -50,7 +50,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document that is left after the other stages."""
+    """What the mix takes of every document that is left after the other stages.
+
+    A null or empty text is not toxic, no duplicate of anything, clean and without secrets; it
+    stays, with nothing taken of it. A row without doc_id stays in every stage unless toxic or
+    contaminated. Of rows that share a doc_id and have words one stays. Columns beside those of
+    documents pass through all stages but the last. An empty table gives an empty result.
+    """
     work = Workspace(spark, "pipeline")
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
