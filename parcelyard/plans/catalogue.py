@@ -35,6 +35,7 @@ CSV_LINE = {
 
 _runs: dict[tuple[str, str], Refresh] = {}
 _extracts: set[str] = set()
+_read: dict[str, raw.RawTable] = {}
 
 
 def refresh_of(spark: SparkSession, sf_dir: str) -> Refresh:
@@ -73,7 +74,8 @@ def extracted(run: Refresh, name: str) -> raw.RawTable:
         )
         run.raw[name].frame.select(F.explode(F.array_compact(lines))).write.mode("overwrite").text(path)
         _extracts.add(path)
-    return raw.read_csv(run.spark, path, table, header=table.source_columns)
+        _read[path] = raw.read_csv(run.spark, path, table, header=table.source_columns)
+    return _read[path]
 
 
 def extract(name: str) -> Callable[[Refresh], DataFrame]:

@@ -7,7 +7,9 @@ its own, whatever came before; a running composition over the blocks of a file g
 state at each block's start, and from there that of each line that has an effect.
 
 Only lines with a quotation mark are looked at, and only their places and effects are
-shuffled, by block. What comes out are the lines of records that span several; the text
+shuffled, by block. A record counts only if all its quotations end with their values, and
+whether its first and its last line allow that shows from these lines alone; so the lines
+between two stray quotation marks are never gathered. What comes out are the lines of records that span several; the text
 itself is read where it lies.
 """
 
@@ -36,9 +38,12 @@ _STRICT = rf'(?:"{_REST}"|[^",][^,]*+)?+'
 WELL_QUOTED = rf'\A(?:{_STRICT},)*+{_STRICT}\z'
 OPENS = rf'\A(?:{_FIELD},)*+"{_REST}\z'
 STAYS = rf'\A{_REST}(?:"[^,]*+,(?:{_FIELD},)*+"{_REST})?+\z'
+# The first and the last line of a record that is well quoted.
+BEGINS_WELL = rf'\A(?:{_STRICT},)*+"{_REST}\z'
+ENDS_WELL = rf'\A{_REST}"(?:,{_STRICT})*+\z'
 
 
-def _composed(frame: DataFrame, group: list[str], order: str) -> DataFrame:
+def _composed(frame: DataFrame, group: list[str], order: str, *keep: str) -> DataFrame:
     """Effects of the rows up to each one: ``known`` state after them, or whether it ``turns``.
 
     ``sets`` is the state that a row leaves (null if that depends), ``swaps`` 1 where it turns
@@ -54,14 +59,23 @@ def _composed(frame: DataFrame, group: list[str], order: str) -> DataFrame:
         order,
         F.col("_last.sets").bitwiseXOR(since.cast("int")).alias("known"),
         (F.col("_swaps") % 2).cast("int").alias("turns"),
+        *keep,
     )
 
 
 def marks(lines: DataFrame) -> DataFrame:
-    """Lines that open a quotation if none is open, or close one that is."""
-    quoted = lines.where(F.col("value").contains('"'))
-    return quoted.select(
-        *KEY, F.col("value").rlike(OPENS).alias("opens"), (~F.col("value").rlike(STAYS)).alias("closes")
+    """Lines that open a quotation if none is open, or close one that is.
+
+    ``begins`` and ``ends`` say whether the line can be the first or the last one of a record
+    that is well quoted.
+    """
+    value = F.col("value")
+    return lines.where(value.contains('"')).select(
+        *KEY,
+        value.rlike(OPENS).alias("opens"),
+        (~value.rlike(STAYS)).alias("closes"),
+        value.rlike(BEGINS_WELL).alias("begins"),
+        value.rlike(ENDS_WELL).alias("ends"),
     ).where("opens or closes")
 
 
@@ -73,14 +87,21 @@ def effects(marks: DataFrame) -> DataFrame:
             *KEY,
             F.when(opens != closes, opens.cast("int")).alias("sets"),
             (opens & closes).cast("int").alias("swaps"),
+            "begins",
+            "ends",
         ),
         [FILE, BLOCK],
         ROW,
+        "begins",
+        "ends",
     )
 
 
 def _events(effects: DataFrame) -> DataFrame:
-    """Lines that begin (``state`` 1) or end (0) a quotation that goes over lines."""
+    """Lines that begin (``state`` 1) or end (0) a quotation that goes over lines.
+
+    ``well`` says whether a record that is well quoted can begin or end so.
+    """
     blocks = effects.groupBy(FILE, BLOCK).agg(
         F.max_by(F.struct("known", "turns"), ROW).alias("whole")
     )
@@ -103,7 +124,7 @@ def _events(effects: DataFrame) -> DataFrame:
         .withColumn("state", state)
         .withColumn("before", F.coalesce(F.lag("state").over(in_block), F.col("entry")))
         .where("state != before")
-        .select(*KEY, "state")
+        .select(*KEY, "state", F.expr("if(state = 1, begins, ends)").alias("well"))
     )
 
 
@@ -111,37 +132,39 @@ def spanning(lines: DataFrame, write, longest: int = LONGEST) -> DataFrame | Non
     """``KEY`` of each line of a record over several lines, with the record's first line.
 
     ``lines`` has the columns of ``KEY`` and value; ``write`` stores a frame under a name and
-    gives it back. None if no record spans lines.
+    gives it back. None if no record spans lines. Lines between two quotation marks that
+    cannot be the ends of a record are left out.
     """
     found = write(marks(lines), "marks")
-    if found.where("opens").isEmpty():
+    if not all(found.agg(F.bool_or("begins"), F.bool_or("ends")).first()):
         return None
     events = write(_events(write(effects(found), "effects")), "events")
     in_block = Window.partitionBy(FILE, BLOCK).orderBy(ROW)
-    placed = events.withColumn("next", F.lead(ROW).over(in_block)).withColumn(
+    placed = events.withColumn("next", F.lead(F.struct(ROW, "well")).over(in_block)).withColumn(
         "nth", F.row_number().over(in_block)
     )
     first = [F.col(BLOCK).alias(FIRST_BLOCK), F.col(ROW).alias(FIRST_ROW)]
-    inside = placed.where(
-        (F.col("state") == 1) & (F.col("next") - F.col(ROW) < longest)
-    ).select(FILE, BLOCK, *first, F.explode(F.sequence(ROW, "next")).alias(ROW))
-    # A record that goes on in another block: the last event of one, the first of another.
-    loose = write(
-        placed.where("state = 1 and next is null or state = 0 and nth = 1").select(*KEY, "state"),
-        "loose",
+    inside = (
+        placed.where("state = 1 and well and next.well")
+        .where(F.col(f"next.{ROW}") - F.col(ROW) < longest)
+        .select(FILE, BLOCK, *first, F.explode(F.sequence(ROW, f"next.{ROW}")).alias(ROW))
     )
+    # A record that goes on in another block: the last event of one, the first of another.
+    loose = placed.where("state = 1 and next is null or state = 0 and nth = 1")
+    pairs = write(_pairs(loose), "pairs")
     found = inside
-    if not loose.isEmpty():
-        found = inside.unionByName(_across(lines, loose, longest))
+    if not pairs.isEmpty():
+        found = inside.unionByName(_across(lines, pairs, longest))
     found = write(found.select(*KEY, FIRST_BLOCK, FIRST_ROW), "lines")
     return None if found.isEmpty() else found
 
 
-def _across(lines: DataFrame, loose: DataFrame, longest: int) -> DataFrame:
+def _pairs(loose: DataFrame) -> DataFrame:
+    """Where records that go over blocks begin and end."""
     in_file = Window.partitionBy(FILE).orderBy(BLOCK, ROW)
-    pairs = (
-        loose.withColumn("end", F.lead(F.struct(BLOCK, ROW)).over(in_file))
-        .where("state = 1 and end is not null")
+    return (
+        loose.withColumn("end", F.lead(F.struct(BLOCK, ROW, "well")).over(in_file))
+        .where("state = 1 and well and end.well")
         .select(
             FILE,
             F.col(BLOCK).alias(FIRST_BLOCK),
@@ -150,6 +173,9 @@ def _across(lines: DataFrame, loose: DataFrame, longest: int) -> DataFrame:
             F.col(f"end.{ROW}").alias("last_row"),
         )
     )
+
+
+def _across(lines: DataFrame, pairs: DataFrame, longest: int) -> DataFrame:
     blocks = (
         lines.groupBy(FILE, BLOCK)
         .agg(F.min(ROW).alias("low"), F.max(ROW).alias("high"))

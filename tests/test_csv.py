@@ -1,11 +1,15 @@
 """The CSV source: text types, missing values, row order, headers."""
 
+import random
+import re
+
 import pytest
 from frames import ids
 
 from parcelyard import __main__ as command
 from parcelyard import contract as C
 from parcelyard.plans.refresh import Refresh
+from parcelyard.sources import records
 from parcelyard.sources.raw import read_csv, read_csv_tables
 
 WAREHOUSES = "warehouse_id,name,region,city,state\n1,Quay 4,NORTH SEA,Emden,ni\n"
@@ -161,8 +165,6 @@ def spread(rng, count):
 @pytest.mark.parametrize("block", [40, 300, 100_000])
 def test_line_breaks_inside_quotes_in_split_files(spark, tmp_path, block):
     """Without lines that never close a quotation every record is read, whatever the blocks."""
-    import random
-
     rng = random.Random(block)
     raw = tmp_path / "orders.csv"
     raw.mkdir()
@@ -206,6 +208,51 @@ def test_an_open_quotation_spoils_its_own_line_alone(spark, tmp_path):
         assert len(ids_read) + len(lines) >= 32
 
 
+def test_lines_between_stray_quotations_are_not_gathered(spark, tmp_path, monkeypatch):
+    lines = [f"{i},1,2025-05-11,5,2,tiles" for i in range(200)]
+    bad = [f'{i},"half' for i in range(200, 240)]
+    for i, line in enumerate(bad):
+        lines.insert(i * 6 + 3, line)
+    lines += ['300,1,2025-05-11,5,2,"well', 'quoted"', "301,1,2025-05-11,5,2,x"]
+    path = tmp_path / "orders.csv"
+    path.write_text(HEADER + "\n".join(lines) + "\n")
+    found = []
+    monkeypatch.setattr(
+        records, "spanning", lambda *a, whole=records.spanning: found.append(whole(*a)) or found[-1]
+    )
+    table = read_csv(spark, str(path), C.ORDERS)
+    assert found[0].count() == 2
+    assert {r.line for r in table.malformed.collect()} == set(bad)
+    rows = table.frame.orderBy(*table.order_by).collect()
+    assert [r.order_id for r in rows] == [str(i) for i in range(200)] + ["300", "301"]
+    assert rows[200].product_category == "well\nquoted"
+
+    path.write_text(HEADER + "\n".join(lines[:-3]) + "\n")
+    assert read_csv(spark, str(path), C.ORDERS).frame.count() == 200
+    assert found[1] is None
+
+
+def test_well_quoted_records_begin_and_end_well():
+    """No record that counts is passed over for its first or last line alone."""
+    rng = random.Random(7)
+    whole, first, last = (
+        re.compile(pattern.replace(r"\z", r"\Z"))
+        for pattern in (records.WELL_QUOTED, records.BEGINS_WELL, records.ENDS_WELL)
+    )
+    opens, stays = (re.compile(p.replace(r"\z", r"\Z")) for p in (records.OPENS, records.STAYS))
+    counted = 0
+    for _ in range(60_000):
+        lines = "".join(rng.choices('",a\n', (4, 2, 2, 2), k=rng.randint(3, 14))).split("\n")
+        inside = [bool(opens.match(lines[0]))]
+        for line in lines[1:]:
+            inside.append(bool((stays if inside[-1] else opens).match(line)))
+        # A record over several lines: inside a quotation from its first line up to its last.
+        if len(lines) > 1 and all(inside[:-1]) and not inside[-1] and whole.match("\n".join(lines)):
+            counted += 1
+            assert first.match(lines[0]) and last.match(lines[-1]), lines
+    assert counted > 200
+
+
 def test_file_numbers_come_without_a_shuffle(spark, tmp_path, monkeypatch):
     raw = folder(tmp_path / "raw", {f"f {i}.csv": HEADER + ORDERS[0] * (i + 1) for i in range(6)})
     table = read_csv(spark, f"{raw}/orders.csv", C.ORDERS)
