@@ -1,16 +1,18 @@
 """Value shaping: all-text rows to typed rows, in one pass without a shuffle.
 
 Everything that can change a value happens here, before duplicates are looked for.
-Three projections follow one another: trimmed text, values, final columns.
+Projections follow one another: trimmed text, the shapes of dates, values, final columns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.contract import DATE, TEXT, WHOLE, Field, Table
-from parcelyard.functions.dates import parse_date
+from parcelyard.functions.dates import date_shape, day_of
 from parcelyard.functions.numbers import plain_whole, real, whole
 from parcelyard.functions.text import CASING, squeeze, trim
 from parcelyard.sources.raw import RawTable
@@ -34,7 +36,7 @@ def _parsed(field: Field) -> dict[str, Column]:
     """First reading of the trimmed text, under names that ``_final`` builds on."""
     name, text = field.name, F.col(field.name)
     if field.kind == DATE:
-        return {f"_{name}": parse_date(text)}
+        return {f"_{name}": day_of(text, F.col(f"shape_{name}"))}
     if field.kind == WHOLE:
         return {f"_{name}": plain_whole(text), f"_real_{name}": real(text)}
     return {f"_{name}": CASING[field.case](text)}
@@ -48,13 +50,17 @@ def _final(field: Field) -> Column:
 
 
 def values(table: Table, frame: DataFrame, *keep: Column) -> DataFrame:
-    """``<column>`` with the typed value and ``text_<column>`` with its trimmed text."""
+    """``<column>`` with the typed value, ``text_<column>`` with its trimmed text, and for a
+    date ``shape_<column>``, found once and used for the value and for whoever counts styles."""
     text = trimmed(table, frame, *keep)
     kept = text.columns[len(table.fields) :]
-    parsed = text.withColumns({n: c for f in table.fields for n, c in _parsed(f).items()})
+    shapes = {f"shape_{f.name}": date_shape(F.col(f.name)) for f in table.of_kind(DATE)}
+    shaped = text.withColumns(shapes)
+    parsed = shaped.withColumns({n: c for f in table.fields for n, c in _parsed(f).items()})
     return parsed.select(
         *[_final(f).alias(f.name) for f in table.fields],
         *[F.col(f.name).alias(f"text_{f.name}") for f in table.fields],
+        *shapes,
         *kept,
     )
 
@@ -74,11 +80,22 @@ def unparsed_text(table: Table) -> Column:
     return F.concat_ws(", ", *lost)
 
 
-def clean(table: Table, raw: RawTable) -> DataFrame:
-    """Typed columns, the source ordinal, and the text that cleaning could not keep."""
+def readings(table: Table, raw: RawTable) -> DataFrame:
+    """``values`` with the source ordinal and, as ``raw_<column>``, the untouched texts."""
     # A number can be folded by hashing, a struct of several columns only by sorting.
     place = F.col(raw.order_by[0]) if len(raw.order_by) == 1 else F.struct(*raw.order_by)
-    return values(table, raw.frame, place.alias(ORDINAL)).select(
+    untouched = [F.col(f.name).alias(f"raw_{f.name}") for f in table.of_kind(TEXT)]
+    return values(table, raw.frame, place.alias(ORDINAL), *untouched)
+
+
+def clean(
+    table: Table, raw: RawTable, watch: Callable[[DataFrame], DataFrame] = lambda read: read
+) -> DataFrame:
+    """Typed columns, the source ordinal, and the text that cleaning could not keep.
+
+    ``watch`` may observe the readings as they pass.
+    """
+    return watch(readings(table, raw)).select(
         *[filled(f).alias(f.name) for f in table.fields],
         ORDINAL,
         unparsed_text(table).alias(UNPARSED),

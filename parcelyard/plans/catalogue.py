@@ -23,6 +23,7 @@ from parcelyard.plans.refresh import (
     row_counts,
     write_rejects_csv,
 )
+from parcelyard.plans.tallies import Counts
 from parcelyard.session import prepare, removed_at_exit, shared_folder
 from parcelyard.sources import adapters, raw
 from parcelyard.sources.store import Store
@@ -47,10 +48,6 @@ def refresh_of(spark: SparkSession, sf_dir: str) -> Refresh:
     return _runs[name]
 
 
-def _raw_frames(run: Refresh) -> dict[str, DataFrame]:
-    return {name: table.frame for name, table in run.raw.items()}
-
-
 # --- sources and cleaning -------------------------------------------------------
 
 
@@ -401,8 +398,10 @@ def _over_tables(build: Callable[[reports.Tables], DataFrame]) -> Callable[[Refr
     return lambda run: build(run.tables())
 
 
-def _judged_tables(run: Refresh) -> dict[str, DataFrame]:
-    return {n: run.judged(n) for n in C.TABLES}
+def _counted_reading(
+    build: Callable[[SparkSession, dict[str, Counts]], DataFrame],
+) -> Callable[[Refresh], DataFrame]:
+    return lambda run: build(run.spark, {n: run.counts_read(n) for n in C.TABLES})
 
 
 QUERIES: dict[str, Callable[[Refresh], DataFrame]] = {
@@ -416,9 +415,9 @@ QUERIES: dict[str, Callable[[Refresh], DataFrame]] = {
     "clean_numbers": clean_numbers,
     "clean_fill": clean_fill,
     "clean_dedup": clean_dedup,
-    "date_format_profile": lambda run: profiles.date_format_profile(_raw_frames(run)),
+    "date_format_profile": _counted_reading(profiles.date_format_profile),
     "unmapped_carriers": lambda run: profiles.unmapped_carriers(run.raw["shipments"].frame),
-    "mess_profile": lambda run: profiles.mess_profile(_raw_frames(run), run.distinct("orders")),
+    "mess_profile": _counted_reading(profiles.mess_profile),
     "reject_numeric": _refused_for(C.BAD_NUMBER),
     "reject_pk": _refused_for(C.KEY_CONFLICT),
     "reject_required_date": _refused_for(C.MISSING_DATE),
@@ -430,7 +429,7 @@ QUERIES: dict[str, Callable[[Refresh], DataFrame]] = {
     "rejects_all": lambda run: run.rejects(),
     "rejects_csv_roundtrip": rejects_csv_roundtrip,
     "rejects_summary": lambda run: refuse.rejects_summary(run.rejects()),
-    "stage_counts": lambda run: profiles.stage_counts(_judged_tables(run)),
+    "stage_counts": lambda run: profiles.stage_counts(run.spark, {n: run.counts(n) for n in C.TABLES}),
     "derive_delivery": derive_delivery,
     "delivery_split": lambda run: profiles.delivery_split(run.judged("shipments")),
     "loaded_warehouses": loaded("warehouses"),

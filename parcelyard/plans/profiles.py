@@ -3,53 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard import contract as C
-from parcelyard.functions.dates import STYLES, date_style
 from parcelyard.functions.numbers import percent
 from parcelyard.functions.text import known_carrier, squeeze
-from parcelyard.operators import clean, dedup, refuse
-from parcelyard.plans import reports
+from parcelyard.operators import refuse
+from parcelyard.plans import reports, tallies
 from parcelyard.plans.reports import Tables
+from parcelyard.plans.tallies import KINDS, Counts, style_count
 
 # --- raw tables ---------------------------------------------------------------
 
 
-def date_format_profile(raw: Mapping[str, DataFrame]) -> DataFrame:
+def date_format_profile(spark: SparkSession, counts: Mapping[str, Counts]) -> DataFrame:
     """Per date column: values of each style, blank ones, and those that do not parse."""
-    kinds = [*STYLES, "blank", "unparseable"]
-    parts = []
-    for table in C.TABLES.values():
-        columns = [f.name for f in table.of_kind(C.DATE)]
-        if not columns:
-            continue
-        # One pass per table, whatever the number of its date columns.
-        styles = _with_styles(table, raw[table.name]).select(*[f"style_{c}" for c in columns])
-        counted = styles.agg(
-            *[F.count_if(F.col(f"style_{c}") == k).alias(f"{c}_{k}") for c in columns for k in kinds]
-        )
-        lines = [
-            F.struct(F.lit(c).alias("date_column"), *[F.col(f"{c}_{k}").alias(k) for k in kinds])
-            for c in columns
-        ]
-        parts.append(
-            counted.select(F.lit(table.name).alias("source_table"), F.inline(F.array(*lines)))
-        )
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _with_styles(table: C.Table, raw: DataFrame, *keep: Column) -> DataFrame:
-    """Cleaned values and, per date column, the style its text is written in."""
-    return clean.values(table, raw, *keep).withColumns(
-        {
-            f"style_{f.name}": date_style(F.col(f"text_{f.name}"), F.col(f.name))
-            for f in table.of_kind(C.DATE)
-        }
-    )
+    lines = [
+        (name, f.name, *[counts[name][style_count(f.name, kind)] for kind in KINDS])
+        for name, table in C.TABLES.items()
+        for f in table.of_kind(C.DATE)
+    ]
+    kinds = ", ".join(f"{kind} long" for kind in KINDS)
+    return spark.createDataFrame(lines, f"source_table string, date_column string, {kinds}")
 
 
 def unmapped_carriers(raw_shipments: DataFrame) -> DataFrame:
@@ -69,93 +46,31 @@ def unmapped_carriers(raw_shipments: DataFrame) -> DataFrame:
     return first.select("spelling", "rows", "totals.*")
 
 
-def _blank(name: str) -> Column:
-    return F.coalesce(F.col(f"text_{name}"), F.lit("")) == ""
-
-
-def _odd_date(table: C.Table) -> Column:
-    odd = [s for s in STYLES if s != "iso"]
-    return reduce(
-        Column.__or__, [F.col(f"style_{f.name}").isin(*odd) for f in table.of_kind(C.DATE)]
-    )
-
-
-def mess_profile(raw: Mapping[str, DataFrame], distinct_orders: DataFrame) -> DataFrame:
+def mess_profile(spark: SparkSession, counts: Mapping[str, Counts]) -> DataFrame:
     """How many raw rows needed each kind of cleaning."""
-    late = F.col("actual_delivery_date") > F.col("expected_delivery_date")
-    # Compared with the untouched text, so that surplus whitespace counts as sloppy.
-    sloppy = {
-        name: (F.col(f"text_{name}") != "") & (F.col(f"raw_{name}") != F.col(name))
-        for name in ("carrier", "region")
-    }
-    counted = [
-        distinct_orders.agg(
-            F.coalesce(F.sum(F.col(dedup.COPIES) - 1), F.lit(0)).alias("order_rows_folded")
-        ),
-        _with_styles(C.ORDERS, raw["orders"]).agg(
-            F.count_if(_blank("product_category")).alias("category_blank"),
-            F.count_if(_blank("customer_id")).alias("customer_blank"),
-            F.count_if(_odd_date(C.ORDERS)).alias("orders_not_iso"),
-        ),
-        _with_styles(C.SHIPMENTS, raw["shipments"], F.col("carrier").alias("raw_carrier")).agg(
-            F.count_if(_blank("carrier")).alias("carrier_blank"),
-            F.count_if(late & _blank("delay_reason")).alias("late_without_reason"),
-            F.count_if(_odd_date(C.SHIPMENTS)).alias("shipments_not_iso"),
-            F.count_if(sloppy["carrier"]).alias("carrier_respelled"),
-        ),
-        clean.values(
-            C.WAREHOUSES, raw["warehouses"], F.col("region").alias("raw_region")
-        ).agg(F.count_if(sloppy["region"]).alias("region_respelled")),
-    ]
-    return reduce(DataFrame.unionByName, [_as_lines(one, "mess") for one in counted])
-
-
-def _as_lines(one_row: DataFrame, label: str) -> DataFrame:
-    """A row of counts as (label, rows) lines."""
-    return one_row.select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(c).alias(label), F.col(c).alias("rows")) for c in one_row.columns]
-            )
-        )
-    )
+    orders = counts["orders"]
+    lines = [("order_rows_folded", orders[tallies.READ] - orders[tallies.DISTINCT])]
+    for name in ("orders", "shipments", "warehouses"):
+        lines += [(label, counts[name][label]) for label in tallies.mess(C.TABLES[name])]
+    return spark.createDataFrame(lines, "mess string, rows long")
 
 
 # --- refresh statistics -------------------------------------------------------
 
 
-def stage_counts(judged: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows before and after every removing step, per table in the order of the steps.
-
-    Judged rows know how many raw rows they stand for, so one pass gives every line.
-    """
-    parts = []
-    for name, frame in judged.items():
-        reasons = [reason for reason, _, _ in refuse.rules(C.TABLES[name])]
-        if name in refuse.ORPHAN:
-            reasons.append(refuse.ORPHAN[name])
-        gone = [F.count_if(F.col(refuse.REASON) == r).alias(f"_{i}") for i, r in enumerate(reasons)]
-        counted = frame.agg(
-            F.coalesce(F.sum(dedup.COPIES), F.lit(0)).alias("raw"),
-            F.count(F.lit(1)).alias("kept"),
-            *gone,
-        )
-        before, lines = F.col("kept"), [("drop duplicate rows", F.col("raw"), F.col("kept"))]
-        for i, reason in enumerate(reasons):
-            after = before - F.col(f"_{i}")
-            lines.append((f"reject: {reason}", before, after))
+def stage_counts(spark: SparkSession, counts: Mapping[str, Counts]) -> DataFrame:
+    """Rows before and after every removing step, per table in the order of the steps."""
+    lines = []
+    for name, own in counts.items():
+        before = own[tallies.DISTINCT]
+        lines.append((name, 1, "drop duplicate rows", own[tallies.READ], before))
+        for step, reason in enumerate(tallies.reasons(C.TABLES[name]), start=2):
+            after = before - own[tallies.refused_count(reason)]
+            lines.append((name, step, f"reject: {reason}", before, after))
             before = after
-        structs = [
-            F.struct(
-                F.lit(i + 1).alias("step"),
-                F.lit(label).alias("label"),
-                b.alias("rows_before"),
-                a.alias("rows_after"),
-            )
-            for i, (label, b, a) in enumerate(lines)
-        ]
-        parts.append(counted.select(F.lit(name).alias("source_table"), F.inline(F.array(*structs))))
-    return reduce(DataFrame.unionByName, parts)
+    return spark.createDataFrame(
+        lines, "source_table string, step int, label string, rows_before long, rows_after long"
+    )
 
 
 def validated(judged_shipments: DataFrame) -> DataFrame:

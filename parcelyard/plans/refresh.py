@@ -8,6 +8,8 @@ costs one stage, and every later join starts from files of known size:
   contested  keys claimed by different rows        one shuffle of the key alone
   first      which row keeps each contested key    order of the contested rows
   judged     every row with reason and outcome     joins with first and with the parent
+
+What the profiles count is counted while ``folded`` and ``judged`` are written.
 """
 
 from __future__ import annotations
@@ -17,13 +19,15 @@ import threading
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from parcelyard.contract import TABLES
 from parcelyard.operators import dedup, gate, refuse
-from parcelyard.operators.clean import clean
+from parcelyard.operators.clean import clean, readings
+from parcelyard.plans import tallies
+from parcelyard.plans.tallies import Counts, Tally
 from parcelyard.session import prepare
 from parcelyard.sources.raw import RawTable
 from parcelyard.sources.store import ContractViolation, Store, discard, stage
@@ -44,6 +48,13 @@ class Refresh:
         self.staging = f"{folder}/staging"
         self._written: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = {}
+        self._tallies: dict[str, Tally] = {}
+
+    def _watch(
+        self, stage_name: str, counts: dict[str, Column]
+    ) -> Callable[[DataFrame], DataFrame]:
+        tally = self._tallies[stage_name] = Tally(counts)
+        return tally.watch
 
     def _once(self, path: str, build: Callable[[], DataFrame], *partition_by: str) -> DataFrame:
         with self._locks.setdefault(path, threading.Lock()):
@@ -51,19 +62,25 @@ class Refresh:
                 self._written[path] = stage(self.spark, path, build(), *partition_by)
             return self._written[path]
 
-    def cleaned(self, name: str) -> DataFrame:
-        return clean(TABLES[name], self.raw[name])
+    def folded(self, name: str) -> DataFrame:
+        table = TABLES[name]
+
+        def build() -> DataFrame:
+            seen = self._watch(f"{name} read", tallies.of_readings(table))
+            folded = dedup.folded_rows(table, clean(table, self.raw[name], seen))
+            return self._watch(f"{name} folded", tallies.of_folded())(folded)
+
+        return self._once(f"{self.staging}/{name}_folded", build, dedup.DOUBT)
 
     def distinct(self, name: str) -> DataFrame:
         table = TABLES[name]
-        folded = self._once(
-            f"{self.staging}/{name}_folded",
-            lambda: dedup.folded_rows(table, self.cleaned(name)),
-            dedup.DOUBT,
-        )
-        refolded = self._once(
-            f"{self.staging}/{name}_refolded", lambda: dedup.refolded_rows(table, folded)
-        )
+        folded = self.folded(name)
+
+        def build() -> DataFrame:
+            refolded = dedup.refolded_rows(table, folded)
+            return self._watch(f"{name} refolded", tallies.of_refolded())(refolded)
+
+        refolded = self._once(f"{self.staging}/{name}_refolded", build)
         return dedup.distinct_rows(table, folded, refolded)
 
     def contested(self, name: str) -> DataFrame:
@@ -91,10 +108,32 @@ class Refresh:
         def build() -> DataFrame:
             self._side_by_side(lineage(name))
             parent = self.loaded(table.parent.parent) if table.parent else None
-            return refuse.judged(table, self.distinct(name), self.first(name), parent)
+            judged = refuse.judged(table, self.distinct(name), self.first(name), parent)
+            return self._watch(f"{name} judged", tallies.of_judged(table))(judged)
 
         return self._once(f"{self.folder}/{name}", build, refuse.OUTCOME)
 
+    def counts_read(self, name: str) -> Counts:
+        """What was counted while the table's readings were folded to distinct rows."""
+        wanted = tallies.of_readings(TABLES[name])
+        self.distinct(name)
+        folded = self._tallies[f"{name} folded"].read()
+        refolded = self._tallies[f"{name} refolded"].read()
+        distinct = {tallies.DISTINCT: folded[tallies.SURE] + refolded[tallies.UNSURE]}
+        if not folded[tallies.READ]:
+            return dict.fromkeys(wanted, 0) | distinct
+        counts = self._tallies[f"{name} read"].read()
+        if counts[tallies.READ] != folded[tallies.READ]:
+            log.info("%s: a task before the shuffle was repeated, its rows are counted anew", name)
+            anew = readings(TABLES[name], self.raw[name])
+            counts = anew.agg(*[count.alias(n) for n, count in wanted.items()]).first().asDict()
+        return counts | distinct
+
+    def counts(self, name: str) -> Counts:
+        """All counts of the table: of its readings, and of its judged rows."""
+        self.judged(name)
+        return self.counts_read(name) | self._tallies[f"{name} judged"].read()
+
     def loaded(self, name: str) -> DataFrame:
         """The table's surviving rows: its contract columns plus those carried from the parent."""
         return loaded_part(name, self.judged(name))
@@ -137,6 +176,15 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return counts
 
 
+COUNTS_SCHEMA = "source_table STRING, measure STRING, rows BIGINT"
+
+
+def counts_frame(spark: SparkSession, counts: Mapping[str, Counts]) -> DataFrame:
+    """(source_table, measure, rows): the counts of all tables as a table."""
+    lines = [(name, measure, n) for name, own in counts.items() for measure, n in own.items()]
+    return spark.createDataFrame(lines, COUNTS_SCHEMA).coalesce(1)
+
+
 def publish(
     spark: SparkSession,
     raw: Mapping[str, RawTable],
@@ -168,6 +216,8 @@ def publish(
                 "its offending keys in violations there",
                 run.folder,
             )
+        measured = {name: run.counts(name) for name in TABLES}
+        stage(spark, f"{run.folder}/counts", counts_frame(spark, measured))
         counts = row_counts(tables | {"rejects": rejects}).collect()
         after = store.commit(
             run.folder,
@@ -220,6 +270,14 @@ class Snapshot:
     def rejects(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.info.folder}/rejects")
 
+    def counts(self) -> dict[str, Counts]:
+        """What was counted while the version was written, per table; see ``plans.profiles``."""
+        stored = self.spark.read.schema(COUNTS_SCHEMA).parquet(f"{self.info.folder}/counts")
+        found: dict[str, Counts] = {name: {} for name in TABLES}
+        for line in stored.collect():
+            found[line.source_table][line.measure] = line.rows
+        return found
+
 
 # How a character that would end a line is written in the rejects' CSV, the escape first.
 ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0"))

@@ -98,7 +98,8 @@ def test_dates(spark):
 def test_date_styles(spark):
     values = ["2026-03-09", "3/9/2026", "2026/03/09", "3-aug-2026", "2026-02-30", "", None]
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-    style = dates.date_style(F.col("v"), dates.parse_date(F.col("v")))
+    text = F.col("v")
+    style = dates.date_style(text, dates.date_shape(text), dates.parse_date(text))
     assert [r[0] for r in frame.orderBy("i").select(style).collect()] == [
         "iso", "us_slash", "iso_slash", "abbrev_month", "unparseable", "blank", "blank",
     ]
