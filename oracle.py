@@ -667,6 +667,14 @@ QUERIES = {
     "restrict_delete": """select w.warehouse_id, count(o.order_id) orders_held,
         cast(count(o.order_id) > 0 as integer) refused
       from w_loaded w left join o_loaded o on o.warehouse_id = w.warehouse_id group by 1""",
+    "restrict_delete_applied": """
+      with held as (select distinct warehouse_id from o_loaded)
+      select 'without orders' attempt, 0 refused, warehouse_id from w_loaded
+        where warehouse_id in (select warehouse_id from held)
+      union all select 'all', cast(exists (select * from w_loaded
+          where warehouse_id in (select warehouse_id from held)) as integer), warehouse_id
+        from w_loaded
+        where exists (select * from w_loaded where warehouse_id in (select warehouse_id from held))""",
     "cascade_delete": """select 'parent' side, order_id id, order_id from o_loaded
         where year(order_date) <> 1995
       union all select 'child', shipment_id, order_id from s_loaded

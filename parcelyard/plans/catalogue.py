@@ -345,6 +345,24 @@ def restrict_delete(run: Refresh) -> DataFrame:
     )
 
 
+def restrict_delete_applied(run: Refresh) -> DataFrame:
+    """Sites left by two deletes: of the sites without orders, and of all, which is refused whole."""
+    sites, orders = run.loaded("warehouses"), run.loaded("orders")
+    free = sites.join(orders, "warehouse_id", "left_anti")
+    left = []
+    for attempt, doomed in (("without orders", free), ("all", sites)):
+        try:
+            kept, refused = keys.restrict_delete(sites, "warehouse_id", doomed, orders), 0
+        except keys.RestrictedDelete:
+            kept, refused = sites, 1
+        left.append(
+            kept.select(
+                F.lit(attempt).alias("attempt"), F.lit(refused).alias("refused"), "warehouse_id"
+            )
+        )
+    return _union(left)
+
+
 def _marked(parent: DataFrame, column: str, child: DataFrame, child_key: str) -> DataFrame:
     return _union(
         [
@@ -442,6 +460,7 @@ QUERIES: dict[str, Callable[[Refresh], DataFrame]] = {
     "violating_rows": violating_rows,
     "publish_twice": publish_twice,
     "restrict_delete": restrict_delete,
+    "restrict_delete_applied": restrict_delete_applied,
     "cascade_delete": cascade_delete,
     "cascade_update": cascade_update,
     **{name: _over_tables(report.build) for name, report in reports.REPORTS.items()},
