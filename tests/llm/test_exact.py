@@ -245,3 +245,17 @@ def test_one_labelled_id_brings_one_text(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
     got = toxicity.labelled(documents, labels).collect()
     assert len(got) <= 2 and all(r.text in ("bad words 0", "fine") for r in got)
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    from parcelyard.llm import toxicity
+
+    # More rows than a former sample of 1,500 and 3,000, and one longer than its 20,000 characters.
+    documents = spark.range(9000).selectExpr(
+        "id as doc_id", "if(id = 1, repeat('long ', 5000), concat('text ', id)) as text"
+    )
+    labels = documents.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) as toxic")
+    able = labels.where(toxicity.fold(F.col("doc_id")) != 0)
+    got = toxicity.labelled(documents, labels)
+    assert got.count() == able.count() > 7000
+    assert got.agg(F.max(F.length("text"))).first()[0] == 25000
