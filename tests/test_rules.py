@@ -207,3 +207,15 @@ def test_ties_go_by_value(spark, tmp_path):
         C.KEY_CONFLICT,  # null sorts first, so the dateless row holds the key
         C.MISSING_DATE,
     ]
+
+
+def test_a_delete_of_free_sites_folds_the_orders_first(spark, tmp_path):
+    from parcelyard.plans import catalogue
+
+    other = ("8", "Hill", "Lowlands", "Utrecht", "UT")
+    run = refreshed(spark, tmp_path, warehouses=[SITE, other])
+    left = catalogue.restrict_delete_applied(run)
+    assert sorted(left.collect()) == [("all", 1, 7), ("all", 1, 8), ("without orders", 0, 7)]
+    assert "HashAggregate" in left._jdf.queryExecution().optimizedPlan().toString() + (
+        left._jdf.queryExecution().executedPlan().toString()
+    )
