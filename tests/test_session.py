@@ -26,6 +26,19 @@ def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
         spark.conf.unset(session.INITIAL_PARTITIONS)
 
 
+def test_scan_tasks_fold_what_fits(spark, tmp_path, monkeypatch):
+    (tmp_path / "part").write_bytes(b"x" * 4096)
+    spark.conf.unset(session.SPLIT)
+    try:
+        session.prepare(spark, str(tmp_path))
+        assert spark.conf.get(session.SPLIT) == f"{session.SPLIT_BYTES}b"
+        spark.conf.set(session.SPLIT, "7MB")
+        session.prepare(spark, str(tmp_path))
+        assert spark.conf.get(session.SPLIT) == "7MB"
+    finally:
+        spark.conf.unset(session.SPLIT)
+
+
 def test_shared_folder_is_the_named_one(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 

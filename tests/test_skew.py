@@ -136,3 +136,45 @@ def test_unique_ordinals_read_no_values(spark, hot, tmp_path):
         plan = first._jdf.queryExecution().executedPlan().toString()
         assert ("carrier:string" in plan) is reads
         assert first.first()._first._ordinal == 0
+
+
+def test_one_shuffle_by_key_marks_conflicts_and_spares_crowded_keys(spark, hot, tmp_path):
+    # Rows without a readable key, a key of two rows at the same place, and hot key 7.
+    lost = hot.where("shipment_id % 5 = 0").withColumn("shipment_id", F.lit(None).cast("long"))
+    tied = hot.where("shipment_id = 1001")
+    rows = hot.unionByName(lost).unionByName(tied.withColumn("carrier", F.lit("ABC")))
+    contested = dedup.contested_keys(C.SHIPMENTS, rows)
+    assert contested.count() == 2
+    want = dedup.with_conflicts(C.SHIPMENTS, rows, dedup.first_rows(C.SHIPMENTS, rows, contested))
+    crowded = dedup.contested_keys(C.SHIPMENTS, rows, 100)
+    assert [r[0] for r in crowded.collect()] == [7]
+    first = stage(spark, str(tmp_path / "first"), dedup.first_rows(C.SHIPMENTS, rows, crowded))
+    got = dedup.with_conflicts_sorted(C.SHIPMENTS, rows, first)
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    assert got.count() == want.count()
+    plan = executed_plan(got).split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+    # No task gets the rows of key 7 or those without a key.
+    dealt = F.xxhash64(clean.ORDINAL, *C.SHIPMENTS.source_columns)
+    assert rows.where("shipment_id = 7").select(dealt).distinct().count() > ROWS // 4
+
+
+def test_rows_of_a_crowded_key_are_split(spark, hot, tmp_path):
+    with settings(spark, SKEWED):
+        crowded = dedup.contested_keys(C.SHIPMENTS, hot, 100)
+        first = stage(spark, str(tmp_path / "first"), dedup.first_rows(C.SHIPMENTS, hot, crowded))
+        orders = stage(
+            spark,
+            str(tmp_path / "orders"),
+            spark.range(6000).select(F.col("id").alias("order_id"), (F.col("id") % 10).alias("warehouse_id")),
+        )
+        marked = dedup.with_conflicts_sorted(C.SHIPMENTS, hot, first)
+        judged = refuse.judged_rows(C.SHIPMENTS, marked, orders)
+        plan = executed_plan(judged).split("Initial Plan")[0]
+        joins = re.findall(r"SortMergeJoin\S*", plan)
+        # The join with the crowded keys, and apart from it the sort, deal the hot key's rows anew.
+        assert "SortMergeJoin(skew=true)" in joins, joins
+        assert "hashpartitioning(_claim" in plan and "hashpartitioning(order_id" in plan
+        assert judged.where(F.col("reason") == C.KEY_CONFLICT).count() == (
+            hot.where("shipment_id = 7").count() - 1
+        )
