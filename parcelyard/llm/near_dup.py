@@ -57,6 +57,9 @@ PARITIES = 16
 # Shingles hashed at a time.
 STRIDE = 4096
 
+# Bits of a bitmap of ids: so many an id, and at most (8 MB); and in a row of it.
+ID_BITS, MOST_BITS, ROW_BITS = 16, 2**26, 2**15
+
 _random = np.random.Generator(np.random.PCG64(20_240_229))
 FACTORS = _random.integers(0, 2**64, (MINIMA, 1), np.uint64) | np.uint64(1)
 TERMS = _random.integers(0, 2**64, (MINIMA, 1), np.uint64)
@@ -209,6 +212,40 @@ def _confirm_stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _by_bitmap(
+    work: Workspace, documents: DataFrame, ids: DataFrame, name: str
+) -> tuple[DataFrame, DataFrame]:
+    """The rows whose doc_id may be among ``ids``, and those whose doc_id is not or is null.
+
+    Texts are large and few of them wanted: the bitmap of the ids' hashes, of a bounded size,
+    goes to every task, so that a join with ``ids`` need not shuffle the others. Where ids are
+    so many that the bitmap is full, all rows may be among them.
+    """
+    bits = min(max(ROW_BITS, 1 << (ID_BITS * ids.count()).bit_length()), MOST_BITS)
+
+    def row_and_place(key: Column) -> tuple[Column, Column]:
+        place = F.pmod(F.xxhash64(key.cast("long")), F.lit(bits))
+        return F.floor(place / ROW_BITS), place % ROW_BITS
+
+    row, place = row_and_place(ids[ids.columns[0]])
+    bitmap = work.write(
+        ids.select(row.alias("bitmap_row"), place.alias("place"))
+        .repartition("bitmap_row")
+        .groupBy("bitmap_row")
+        .agg(F.bitmap_construct_agg("place").alias("bitmap")),
+        f"{name}-bitmap",
+    )
+    row, place = row_and_place(documents["doc_id"])
+    byte = F.substring(bitmap["bitmap"], F.floor(place / 8).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int"))
+    looked_up = documents.join(F.broadcast(bitmap), row == bitmap["bitmap_row"], "left")
+    among = documents["doc_id"].isNotNull() & F.coalesce(bit == 1, F.lit(False))
+    return (
+        looked_up.where(among).drop(bitmap["bitmap_row"], bitmap["bitmap"]),
+        looked_up.where(~among).drop(bitmap["bitmap_row"], bitmap["bitmap"]),
+    )
+
+
 class NearDuplicates:
     """Components of the documents that are linked directly or by way of others.
 
@@ -234,7 +271,13 @@ class NearDuplicates:
         folded = able.groupBy("fingerprint").agg(
             F.min("doc_id").alias("id"), F.first("minima").alias("minima"), F.first("bands").alias("bands")
         )
-        return self.work.write(folded, "classes")
+        classes = self.work.write(folded, "classes")
+        # The minima and bands of the documents are in their classes now.
+        self.sketches = self.work.write(
+            self.sketches.select("doc_id", "n_shingles", "fingerprint"), "sizes"
+        )
+        self.work.drop("sketches")
+        return classes
 
     def _buckets(self, classes: DataFrame) -> DataFrame:
         """Members of every bucket of two classes or more."""
@@ -244,13 +287,12 @@ class NearDuplicates:
         return self.work.write(members, "buckets")
 
     def _candidate_sets(self, members: DataFrame) -> DataFrame:
-        """Sets of all documents that stand in a bucket; texts are shuffled this once."""
+        """Sets of all documents that stand in a bucket; their texts are shuffled this once."""
+        ids = self.work.write(members.select("id").distinct(), "candidates")
+        able, _ = _by_bitmap(self.work, self.documents, ids, "candidates")
         # Sorted and merged at every size, so that small tables show what large ones cost,
         # and so that the rows of a document come one after another.
-        ids = members.select("id").distinct()
-        wanted = self.documents.join(
-            ids.hint("merge"), self.documents["doc_id"] == ids["id"], "left_semi"
-        )
+        wanted = able.join(ids.hint("merge"), able["doc_id"] == ids["id"], "left_semi")
         found = wanted.mapInArrow(
             partial(_sets, size=self.size), "id long, mark binary, shingles binary"
         )
@@ -269,27 +311,26 @@ class NearDuplicates:
         likely = self.work.write(
             both.mapInArrow(_agreeing, "centre long, member long"), f"likely-{turn}"
         )
-        # Few sets are still wanted in a late round; only these are shuffled.
-        ids = likely.select(F.col("centre").alias("id")).union(likely.select("member")).distinct()
-        sets = sets.join(self.work.write(ids, f"wanted-{turn}"), "id", "left_semi")
         parts = likely.groupBy("centre").agg(F.ceil(F.count("*") / STAR_CHUNK).cast("int").alias("parts"))
-        centres = parts.join(sets, F.col("centre") == F.col("id")).select(
+        centres = parts.select(
+            F.col("centre").alias("id"),
             "centre",
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
             F.lit(None).cast("long").alias("member"),
-            "shingles",
         )
-        members = (
-            likely.join(parts, "centre")
-            .join(sets, F.col("member") == F.col("id"))
-            .select(
-                "centre",
-                F.pmod(F.hash("member"), "parts").alias("part"),
-                "member",
-                "shingles",
-            )
+        members = likely.join(parts, "centre").select(
+            F.col("member").alias("id"),
+            "centre",
+            F.pmod(F.hash("member"), "parts").alias("part"),
+            "member",
+        )
+        # Few sets are still wanted in a late round; each goes by one join to all its places.
+        places = self.work.write(centres.union(members), f"places-{turn}")
+        stars = (
+            sets.join(places, "id")
+            .select("centre", "part", "member", "shingles")
+            .repartition("centre", "part")
         )
-        stars = centres.union(members).repartition("centre", "part")
         confirmed = stars.sortWithinPartitions("centre", "part", "member").mapInArrow(
             partial(_confirm_stars, percent=self.percent), "a long, b long"
         )
@@ -402,6 +443,8 @@ class NearDuplicates:
         """The classes, and the components of those with links."""
         classes = self._classes()
         members = self._buckets(classes)
+        classes = self.work.write(classes.drop("bands"), "signs")
+        self.work.drop("classes")
         twins = self.work.write(self._twins(classes), "twins")
         found = self._joined(None, twins, "twins")
         if members.isEmpty():
@@ -466,9 +509,12 @@ def one_of_each(
     without doc_id all stay.
     """
     work = Workspace(documents.sparkSession, "near-dedup")
-    found = work.write(NearDuplicates(work, documents, size, percent).result(), "result")
-    gone = found.where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    rest = documents.join(gone, documents["doc_id"] == gone["gone"], "left_anti")
+    pairing = Workspace(documents.sparkSession, "near-dup")
+    found = work.write(NearDuplicates(pairing, documents, size, percent).result(), "result")
+    pairing.clear()
+    gone = work.write(
+        found.where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "gone"
+    )
     twice = work.write(
         found.where("kept and n_shingles > 0 and doc_id is not null")
         .groupBy(F.col("doc_id").alias("twice"))
@@ -477,9 +523,11 @@ def one_of_each(
         .select("twice"),
         "repeated",
     )
-    if twice.isEmpty():
-        return rest
-    match = documents["doc_id"] == twice["twice"]
-    return rest.join(twice, match, "left_anti").unionByName(
-        rest.join(twice, match, "left_semi").dropDuplicates(["doc_id"])
-    )
+    able, others = _by_bitmap(work, documents, gone.union(twice), "gone")
+    rest = able.join(gone, able["doc_id"] == gone["gone"], "left_anti")
+    if not twice.isEmpty():
+        match = rest["doc_id"] == twice["twice"]
+        rest = rest.join(twice, match, "left_anti").union(
+            rest.join(twice, match, "left_semi").dropDuplicates(["doc_id"])
+        )
+    return others.union(rest)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from parcelyard.llm import near_dup
+from parcelyard.llm import near_dup, workspace
 from parcelyard.llm.workspace import Workspace
 
 
@@ -129,3 +129,76 @@ def test_repeated_rows_of_two_documents_cost_two_sets(spark):
     assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1)} and len(found) == 100
     assert work.rows["sets"] <= 2 * spark.sparkContext.defaultParallelism
     assert work.rows["links-0"] <= 2
+
+
+def shuffled(spark):
+    """Bytes of the shuffle files that are on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    sizes = (files.apply(i) for i in range(files.size()))
+    return sum(f.length() for f in sizes if f.getName().startswith("shuffle_"))
+
+
+def test_what_a_table_shuffled_goes_once_it_is_written(spark):
+    frame = spark.range(200_000).repartition(4).selectExpr("id", "xxhash64(id) as hash")
+    before = shuffled(spark)
+    made = Workspace(spark, "test-freed").write(frame, "hashes")
+    assert shuffled(spark) <= before
+    assert made.count() == frame.count() == 200_000
+
+
+@pytest.mark.parametrize("value", [None, "false", "true"])
+def test_writing_leaves_the_session_as_it_was(spark, value):
+    if value:
+        spark.conf.set(workspace.FREED, value)
+    Workspace(spark, "test-setting").write(spark.range(3), "ids")
+    assert spark.conf.get(workspace.FREED, None) == value
+    spark.conf.unset(workspace.FREED)
+
+
+def test_only_texts_of_candidates_are_shuffled(spark, tmp_path):
+    """2 MB of texts, 6 of 400 with a near copy: neither stage moves the others."""
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.randrange(16**8):08x}" for _ in range(600)) for _ in range(400)]
+    texts += [text + " end" for text in texts[:6]]
+    path = str(tmp_path / "texts")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(path)
+    documents = spark.read.parquet(path)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        rest = near_dup.one_of_each(documents)
+        before = shuffled(spark)
+        rest.write.parquet(str(tmp_path / "rest"))
+        assert shuffled(spark) - before < 0.2 * sum(map(len, texts))
+    finally:
+        spark.conf.unset(threshold)
+    kept = spark.read.parquet(str(tmp_path / "rest")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == list(enumerate(texts[:400]))
+
+
+@pytest.mark.parametrize("most", [2**26, 2**15, 64])
+def test_bitmap_lets_every_wanted_row_through(spark, monkeypatch, most):
+    monkeypatch.setattr(near_dup, "MOST_BITS", most)
+    rows = [(i - 9000, f"t{i}") for i in range(20_000)] + [(7, "again"), (None, "none")]
+    documents = spark.createDataFrame(rows, "doc_id long, bitmap string")
+    ids = spark.range(-9000, 11_000, 10).toDF("gone")
+    work = Workspace(spark, "test-bitmap")
+    among, others = near_dup._by_bitmap(work, documents, ids, "wanted")
+    assert among.columns == others.columns == documents.columns
+    one, two = ([tuple(r) for r in f.collect()] for f in (among, others))
+    assert sorted(map(repr, one + two)) == sorted(map(repr, rows))
+    assert {d for d, _ in one} >= set(range(-9000, 11_000, 10)) and (None, "none") in two
+    assert len(two) > (15_000 if most == 2**26 else 0)
+
+
+def test_one_of_each_of_odd_rows(spark):
+    """Null ids and texts, repeated ids, and a column that other tables here have, too."""
+    long, near = " ".join(f"w{i}" for i in range(100)), " ".join(f"w{i}" for i in range(98))
+    rows = [(1, long, "a"), (2, near, "b"), (2, near, "c"), (3, "other", "d"), (3, "others", "e")]
+    rows += [(None, long, "f"), (4, None, "g"), (4, None, "h"), (5, "", "i")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, bitmap string")
+    kept = near_dup.one_of_each(documents)
+    assert kept.columns == documents.columns
+    left = [tuple(r) for r in kept.collect()]
+    assert {r for r in left if r[0] != 3} == {r for r in rows if r[0] not in (2, 3)}
+    assert len([r for r in left if r[0] == 3]) == 1 and len(left) == 6
