@@ -1,14 +1,15 @@
 """Publishing: idempotence, drift, refusal and failure."""
 
 import datetime as dt
+import time
 from pathlib import Path
 
 import pytest
-from frames import ORDER, SHIPMENT, ids, raw
+from frames import ORDER, SHIPMENT, ids, raw, refreshed
 from pyspark.sql import functions as F
 
 from parcelyard import contract
-from parcelyard.plans import refresh
+from parcelyard.plans import catalogue, refresh
 from parcelyard.plans.refresh import Snapshot, publish, write_rejects_csv
 from parcelyard.sources.store import ContractDrift, ContractViolation, LostRace, Store
 
@@ -48,6 +49,65 @@ def test_publish_twice(spark, tmp_path):
     assert empty.count() == 0 and empty.columns[:3] == ["source_table", "reason", "detail"]
 
 
+def shuffled(spark):
+    """Names of the shuffle files that are there."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_publish_leaves_no_shuffle_files(spark, tmp_path):
+    before = shuffled(spark)
+    rows = [(str(n), *ORDER[1:]) for n in range(50)]
+    publish(spark, raw(spark, orders=[*rows, *rows]), str(tmp_path))
+    for _ in range(50):
+        left = shuffled(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_stages_go_with_the_table_made_of_them(spark, tmp_path, monkeypatch):
+    def made():
+        return {p.name for p in (tmp_path / "run" / "staging").glob("*")}
+
+    seen = {}
+    whole = refresh.refuse.judged
+
+    def looks(table, *rest):
+        seen[table.name] = made()
+        return whole(table, *rest)
+
+    monkeypatch.setattr(refresh.refuse, "judged", looks)
+    run = refreshed(spark, tmp_path / "run")
+    run.settle()
+    assert seen == {name: {f"{name}_marked"} for name in contract.TABLES}
+    assert not made()
+    assert {n: t.count() for n, t in run.tables().items()} == dict.fromkeys(contract.TABLES, 1)
+
+
+def test_marking_by_slices_is_marking(spark, tmp_path, monkeypatch):
+    orders = [(str(n % 20), "7", "2024-11-18", str(n), "6", "garden") for n in range(60)]
+    orders += [("", *ORDER[1:]), (None, *ORDER[1:])]
+    whole = rows(refreshed(spark, tmp_path / "whole", orders=orders).judged("orders"))
+    monkeypatch.setattr(refresh, "SLICED_BYTES", 0)
+    run = refreshed(spark, tmp_path / "sliced", orders=orders)
+    assert rows(run.judged("orders")) == whole and len(whole) == 61
+    assert len(list(Path(run.staging, "orders_marked").glob("*"))) == refresh.SLICES
+
+
+def test_compared_versions(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, None), (3, "c")], "k int, v string")
+    new = spark.createDataFrame([(1, "a"), (2, None), (None, None), (3, "d"), (4, "e")], "k int, v string")
+    run = refreshed(spark, tmp_path)
+    differ = old.exceptAll(new).count() + new.exceptAll(old).count()
+    found = catalogue._compared(run, f"{tmp_path}/a", old, new).collect()
+    assert [tuple(r) for r in found] == [(5, 5, differ)] and differ == 4
+    none = catalogue._compared(run, f"{tmp_path}/b", old.limit(0), new.limit(0)).collect()
+    assert [tuple(r) for r in none] == [(0, 0, 0)]
+
+
 def test_vocabulary_violation_keeps_the_live_version(spark, tmp_path):
     root = str(tmp_path)
     publish(spark, raw(spark), root)
