@@ -6,7 +6,7 @@ from itertools import islice
 import numpy as np
 import pytest
 
-from parcelyard.llm import extraction, pii, secret_scan
+from parcelyard.llm import extraction, pii, secret_scan, toxicity
 from parcelyard.llm.workspace import Workspace
 
 
@@ -170,3 +170,36 @@ def test_parse_like_a_plain_reading_of_small_pages():
         made, shown = page(0)
         want = [" ".join(line.split()) for line in shown.split("\n") if line.strip()]
         assert page_texts(f"<body>{made}</body>") == want, made
+
+
+def test_toxicity_goes_over_many_rows_as_often_as_over_few(spark, tmp_path, monkeypatch):
+    fit = toxicity.Network.fit
+
+    def counted(network, rows, marks, totals, passes, to=str(tmp_path)):
+        import uuid
+
+        with open(f"{to}/{uuid.uuid4().hex}", "w") as file:
+            file.write(str(len(rows) * passes))
+        fit(network, rows, marks, totals, passes)
+
+    monkeypatch.setattr(toxicity.Network, "fit", counted)
+    for count in (500, 20_000):
+        for file in tmp_path.iterdir():
+            file.unlink()
+        documents = spark.range(count).selectExpr("id as doc_id", "concat('text ', id % 50) as text")
+        labels = documents.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) as toxic")
+        toxicity.train(documents, labels)
+        folds = documents.select(toxicity.fold(documents.doc_id).alias("fold"))
+        trained = folds.where(~folds.fold.isin(0, toxicity.CALIBRATION_FOLD)).count()
+        visits = sum(int(file.read_text()) for file in tmp_path.iterdir())
+        assert visits == trained * toxicity.PASSES * toxicity.ROUNDS
+    assert trained > 10_000
+
+
+def test_toxicity_remembers_the_rows_of_words(monkeypatch):
+    monkeypatch.setattr(toxicity.T, "REMEMBERED", 3000)
+    rows = toxicity._Rows()
+    for start in (0, 900, 1800, 2700, 100, 5000):
+        words = [b"w%d" % (n % 1100 + start) for n in range(2000)]
+        assert rows.of(words).tolist() == [list(toxicity.buckets(w)) for w in words]
+    assert rows.of([]).shape == (0, 3)
